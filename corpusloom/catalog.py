@@ -14,11 +14,12 @@ from corpusloom.functions.text import tokens
 from corpusloom.functions.vectors import aligned, array_measures
 from corpusloom.operators import arcs, association, ngrams, similarity, tasks
 from corpusloom.plans import next_word
+from corpusloom.plans.similarity import corpus_statistics, gold_similarity
 from corpusloom.sources import matrices
 from corpusloom.sources.corpus import gold_pairs, read_vocabulary
 from corpusloom.sources.documents import documents_by_url, parse_tasks, write_ordered_text, write_outputs
 from corpusloom.streaming import jobs
-from corpusloom.workspace import new_path
+from corpusloom.workspace import materialize, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -260,8 +261,11 @@ def top_features(spark, sf_dir):
     return arcs.top_features(arcs.feature_counts(_statistics(spark, sf_dir)[1]))
 
 
-def _assoc(spark, sf_dir, stem=None):
-    words, stats = _statistics(spark, sf_dir, stem)
+def _assoc(spark, sf_dir):
+    """Vocabulary, written statistics and associations of the arc corpus."""
+    trigrams, lines = _arc_lines(spark, sf_dir)
+    words = materialize(fx.vocabulary(trigrams), "vocabulary")
+    stats = corpus_statistics(lines, words, vocabulary_rows=fx.VOCABULARY_ROWS)
     return words, stats, association.assoc_from_statistics(stats, vocabulary_rows=fx.VOCABULARY_ROWS)
 
 
@@ -303,14 +307,17 @@ def gold_pairs_as_written(spark, sf_dir):
 
 @query
 def gold_pairs_counted(spark, sf_dir):
-    words, stats = _statistics(spark, sf_dir)
+    words, stats, _ = _assoc(spark, sf_dir)
     return similarity.counted_pairs(similarity.canonical_pairs(gold_pairs(fx.gold_lines(words))), arcs.lexeme_counts(stats))
 
 
-def _similarity(spark, sf_dir):
-    words, stats, assoc = _assoc(spark, sf_dir)
-    pairs = similarity.canonical_pairs(gold_pairs(fx.gold_lines(words)))
-    return similarity.pair_similarity(pairs, assoc, arcs.lexeme_counts(stats))
+def _similarity(spark, sf_dir, stem=None):
+    trigrams, lines = _arc_lines(spark, sf_dir)
+    words = materialize(fx.vocabulary(trigrams), "vocabulary")
+    gold = gold_pairs(fx.gold_lines(words))
+    if stem:
+        words = words.select(F.get(stem(F.array("lexeme")), F.lit(0)).alias("lexeme"))
+    return gold_similarity(lines, words, gold, stem, vocabulary_rows=fx.VOCABULARY_ROWS)
 
 
 @query
@@ -352,6 +359,12 @@ def stemmed_feature_counts(spark, sf_dir):
     return arcs.feature_counts(_statistics(spark, sf_dir, stem_words)[1])
 
 
+@query
+def stemmed_pair_similarity(spark, sf_dir):
+    """The feature matrix of stemmed words."""
+    return _rounded(_similarity(spark, sf_dir, stem_words), *similarity.FEATURES)
+
+
 # Document jobs
 
 

@@ -29,6 +29,10 @@ def spaced(text: Column) -> Column:
     return F.when((stripped == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(stripped, " "))
 
 
-def whole_number(text: Column, kind: str = "bigint") -> Column:
-    """Signed decimal integer, or null where the text is not one."""
-    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast(kind))
+# A count: at most 18 digits, so that it fits a bigint.
+COUNT = "[+-]?[0-9]{1,18}"
+
+
+def whole_number(text: Column) -> Column:
+    """A count as bigint, or null where the text is none."""
+    return F.when(text.rlike(f"^{COUNT}$"), text.try_cast("bigint"))

@@ -12,11 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import fields, spaced, whole_number
+from corpusloom.functions.text import COUNT, fields, spaced, whole_number
 from corpusloom.sizing import broadcast_if_small
 
 SKIP, TAKE = 100, 1000
 
+# Any two fields, then a count.
+GOOD_LINE = f"(?s)^[^\\t]*\\t[^\\t]*\\t{COUNT}(\\t|$)"
+
 
 def staged_arc_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Parse lines to (line, toks, cnt, problem); problem names the failed test or is null."""
@@ -32,8 +35,10 @@ def staged_arc_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def accepted_arc_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Good lines as (toks, cnt)."""
-    return staged_arc_lines(lines, line).filter(F.col("problem").isNull()).select("toks", "cnt")
+    """Good lines as (toks, cnt); one pattern on the raw line is the whole test."""
+    good = lines.filter(F.col(line).rlike(GOOD_LINE)).select(fields(F.col(line)).alias("f"))
+    cnt = F.coalesce(F.get("f", F.lit(2)).cast("bigint"), F.lit(0).cast("bigint"))
+    return good.select(spaced(F.get("f", F.lit(1))).alias("toks"), cnt.alias("cnt"))
 
 
 def rejected_arc_lines(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -41,52 +46,50 @@ def rejected_arc_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     return staged_arc_lines(lines, line).filter(F.col("problem").isNotNull()).select("line", "problem")
 
 
-def _token_parts(toks: Column) -> Column:
-    """Each token's word, label and head index; a null word marks a token of slashes only."""
-
-    def part(tok: Column) -> Column:
-        parts = F.split(tok, "/")
-        head = whole_number(F.trim(F.get(parts, F.lit(3))), "int")
-        return F.struct(
-            F.when(~tok.rlike("^/+$"), F.get(parts, F.lit(0))).alias("word"),
-            F.when(F.size(parts) >= 4, F.get(parts, F.lit(2))).alias("dep"),
-            F.when(F.size(parts) >= 4, head).alias("head"),
-        )
-
-    return F.transform(toks, part)
-
-
-def with_arcs(
-    lines: DataFrame, stem: Callable[[Column], Column] | None = None, *keep: str
-) -> DataFrame:
+def with_arcs(lines: DataFrame, stem: Callable[[Column], Column] | None = None, *keep: str) -> DataFrame:
     """(*keep, cnt, n_toks, arcs) per line, arcs as ``array<struct<lexeme, dep, head, feature>>``.
 
     Tokens with fewer than four parts, a head that is no number, the root and a
     head outside the line give no arc. ``stem`` maps an array of words to an
     array of stems and is applied to both ends of an arc.
     """
-    parts = lines.select(*keep, "cnt", F.size("toks").alias("n_toks"), _token_parts(F.col("toks")).alias("parts"))
-    words = F.col("parts.word")
-    named = parts.withColumn("words", stem(words) if stem else words)
+    size = F.size("toks").alias("n_toks")
+    split = lines.select(*keep, "cnt", size, F.transform("toks", lambda t: F.split(t, "/")).alias("parts"))
+
+    # A token of slashes only has no word; such a token is longer than its word.
+    def word(parts: Column) -> Column:
+        return F.when((F.size(parts) == 1) | (F.array_max(parts) != ""), F.get(parts, F.lit(0)))
+
+    if stem:
+        split = split.withColumn("words", stem(F.transform("parts", word)))
 
-    def arc(token: Column, at: Column) -> Column:
-        head = F.get(F.col("words"), token["head"] - 1)
+    def word_at(i: Column) -> Column:
+        return F.get("words", i) if stem else word(F.get("parts", i))
+
+    def arc(parts: Column, at: Column) -> Column:
+        # Three parts or fewer have no head index and fall out with the null.
+        head = word_at(F.get(parts, F.lit(3)).try_cast("int") - 1)
+        dep = F.get(parts, F.lit(2))
         return F.struct(
-            F.get(F.col("words"), at).alias("lexeme"),
-            token["dep"].alias("dep"),
+            word_at(at).alias("lexeme"),
+            dep.alias("dep"),
             head.alias("head"),
-            F.concat(head, F.lit("-"), token["dep"]).alias("feature"),
+            F.concat(head, F.lit("-"), dep).alias("feature"),
         )
 
     def real(a: Column) -> Column:
         return a["lexeme"].isNotNull() & a["feature"].isNotNull()
 
-    return named.select(*keep, "cnt", "n_toks", F.filter(F.transform("parts", arc), real).alias("arcs"))
+    return split.select(*keep, "cnt", "n_toks", F.filter(F.transform("parts", arc), real).alias("arcs"))
 
 
 def explode_arcs(lines: DataFrame, *keep: str) -> DataFrame:
-    """One row per arc: (*keep, cnt, lexeme, dep, head, feature)."""
-    return lines.select(*keep, "cnt", F.inline("arcs"))
+    """One row per arc: (*keep, cnt, lexeme, dep, head, feature).
+
+    The outer form, as the inner one makes Spark test the size of ``arcs`` below
+    the parsing steps, where it would parse every line a second time.
+    """
+    return lines.select(*keep, "cnt", F.inline_outer("arcs")).filter(F.col("lexeme").isNotNull())
 
 
 def distinct_features(arcs: Column) -> Column:

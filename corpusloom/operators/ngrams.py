@@ -13,11 +13,18 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import fields, tokens, whole_number, words
+from corpusloom.functions.text import COUNT, fields, tokens, whole_number, words
 from corpusloom.sizing import broadcast_if_small
 
 WORDS = ("w1", "w2", "w3")
 
+# Three words, any second field, a count, and something after it.
+_BLANK = "[ \\x0B\\f\\r\\n]"
+GOOD_LINE = (
+    f"(?s)^[^\\s]*{_BLANK}+[^\\s]+{_BLANK}+[^\\s]+{_BLANK}*"  # words
+    f"\\t[^\\t]*\\t{COUNT}\\t.*[^\\t]"
+)
+
 
 def sliding_trigrams(docs: DataFrame, text: str = "text", *keep: str) -> DataFrame:
     """Every three consecutive tokens of ``text`` as (w1, w2, w3, *keep, cnt=1)."""
@@ -49,7 +56,7 @@ def staged_ngram_lines(lines: DataFrame, line: str = "value") -> DataFrame:
         "line",
         F.size("f").alias("n_fields"),
         words(F.get("f", F.lit(0))).alias("w"),
-        whole_number(F.get("f", F.lit(1)), "int").alias("year"),
+        F.get("f", F.lit(1)).try_cast("int").alias("year"),
         whole_number(F.get("f", F.lit(2))).alias("cnt"),
     )
     problem = (
@@ -62,9 +69,19 @@ def staged_ngram_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def accepted_ngrams(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Good lines as (w1, w2, w3, year, cnt)."""
-    good = staged_ngram_lines(lines, line).filter(F.col("problem").isNull())
-    return good.select(*never_null(*WORDS), "year", "cnt")
+    """Good lines as (w1, w2, w3, year, cnt).
+
+    The three tests are one pattern on the raw line: it runs inside the scan and
+    only the lines that pass are split.
+    """
+    good = lines.filter(F.col(line).rlike(GOOD_LINE)).select(fields(F.col(line)).alias("f"))
+    split = good.select(
+        words(F.get("f", F.lit(0))).alias("w"),
+        F.get("f", F.lit(1)).try_cast("int").alias("year"),
+        F.get("f", F.lit(2)).cast("bigint").alias("cnt"),
+    )
+    picks = [F.coalesce(F.get("w", F.lit(i)), F.lit("")).alias(w) for i, w in enumerate(WORDS)]
+    return split.select(*picks, "year", F.coalesce("cnt", F.lit(0).cast("bigint")).alias("cnt"))
 
 
 def rejected_ngrams(lines: DataFrame, line: str = "value") -> DataFrame:
