@@ -25,7 +25,7 @@ def words(gram: Column) -> Column:
 
 def spaced(text: Column) -> Column:
     """Parts separated by single spaces; a text of spaces only has no part."""
-    stripped = F.regexp_replace(text, " +$", "")
+    stripped = F.rtrim(text)
     return F.when((stripped == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(stripped, " "))
 
 

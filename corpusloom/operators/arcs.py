@@ -36,7 +36,7 @@ def staged_arc_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
 def accepted_arc_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Good lines as (toks, cnt); one pattern on the raw line is the whole test."""
-    good = lines.filter(F.col(line).rlike(GOOD_LINE)).select(fields(F.col(line)).alias("f"))
+    good = lines.filter(F.col(line).rlike(GOOD_LINE)).select(F.split(line, "\t", 4).alias("f"))
     cnt = F.coalesce(F.get("f", F.lit(2)).cast("bigint"), F.lit(0).cast("bigint"))
     return good.select(spaced(F.get("f", F.lit(1))).alias("toks"), cnt.alias("cnt"))
 
@@ -47,7 +47,7 @@ def rejected_arc_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def with_arcs(lines: DataFrame, stem: Callable[[Column], Column] | None = None, *keep: str) -> DataFrame:
-    """(*keep, cnt, n_toks, arcs) per line, arcs as ``array<struct<lexeme, dep, head, feature>>``.
+    """(*keep, cnt, n_toks, arcs) per line, arcs as ``array<struct<lexeme, dep, head>>``.
 
     Tokens with fewer than four parts, a head that is no number, the root and a
     head outside the line give no arc. ``stem`` maps an array of words to an
@@ -56,31 +56,31 @@ def with_arcs(lines: DataFrame, stem: Callable[[Column], Column] | None = None,
     size = F.size("toks").alias("n_toks")
     split = lines.select(*keep, "cnt", size, F.transform("toks", lambda t: F.split(t, "/")).alias("parts"))
 
-    # A token of slashes only has no word; such a token is longer than its word.
+    # The word comes first; a token of slashes only has none.
     def word(parts: Column) -> Column:
-        return F.when((F.size(parts) == 1) | (F.array_max(parts) != ""), F.get(parts, F.lit(0)))
+        first = F.get(parts, F.lit(0))
+        return F.when((first != "") | (F.size(parts) == 1) | (F.array_max(parts) != ""), first)
 
-    if stem:
-        split = split.withColumn("words", stem(F.transform("parts", word)))
-
-    def word_at(i: Column) -> Column:
-        return F.get("words", i) if stem else word(F.get("parts", i))
+    words = F.transform("parts", word)
+    named = split.withColumn("words", stem(words) if stem else words)
 
+    # Three parts or fewer have no head index and fall out with the null.
     def arc(parts: Column, at: Column) -> Column:
-        # Three parts or fewer have no head index and fall out with the null.
-        head = word_at(F.get(parts, F.lit(3)).try_cast("int") - 1)
-        dep = F.get(parts, F.lit(2))
         return F.struct(
-            word_at(at).alias("lexeme"),
-            dep.alias("dep"),
-            head.alias("head"),
-            F.concat(head, F.lit("-"), dep).alias("feature"),
+            F.get("words", at).alias("lexeme"),
+            F.get(parts, F.lit(2)).alias("dep"),
+            F.get("words", F.get(parts, F.lit(3)).try_cast("int") - 1).alias("head"),
         )
 
     def real(a: Column) -> Column:
-        return a["lexeme"].isNotNull() & a["feature"].isNotNull()
+        return a["head"].isNotNull() & a["lexeme"].isNotNull()
+
+    return named.select(*keep, "cnt", "n_toks", F.filter(F.transform("parts", arc), real).alias("arcs"))
+
 
-    return split.select(*keep, "cnt", "n_toks", F.filter(F.transform("parts", arc), real).alias("arcs"))
+def make_feature(head: Column, dep: Column) -> Column:
+    """Feature of an arc: its head word and label."""
+    return F.concat(head, F.lit("-"), dep)
 
 
 def explode_arcs(lines: DataFrame, *keep: str) -> DataFrame:
@@ -89,12 +89,13 @@ def explode_arcs(lines: DataFrame, *keep: str) -> DataFrame:
     The outer form, as the inner one makes Spark test the size of ``arcs`` below
     the parsing steps, where it would parse every line a second time.
     """
-    return lines.select(*keep, "cnt", F.inline_outer("arcs")).filter(F.col("lexeme").isNotNull())
+    rows = lines.select(*keep, "cnt", F.inline_outer("arcs")).filter(F.col("lexeme").isNotNull())
+    return rows.withColumn("feature", make_feature(F.col("head"), F.col("dep")))
 
 
 def distinct_features(arcs: Column) -> Column:
     """The different features of one line."""
-    return F.array_distinct(F.transform(arcs, lambda a: a["feature"]))
+    return F.array_distinct(F.transform(arcs, lambda a: make_feature(a["head"], a["dep"])))
 
 
 def in_vocabulary(arcs: DataFrame, vocabulary: DataFrame, known_rows: int | None = None) -> DataFrame:
@@ -117,13 +118,13 @@ def arc_statistics(arc_lines: DataFrame, vocabulary: DataFrame, known_rows: int
         "cnt",
         ((F.col("n_toks") - 1) * F.col("cnt")).alias("l_line"),
         (F.size(distinct_features(F.col("arcs"))) * F.col("cnt")).alias("f_line"),
-        F.posexplode_outer(F.transform("arcs", lambda a: F.struct(a["lexeme"], a["feature"]))).alias("at", "arc"),
+        F.posexplode_outer("arcs").alias("at", "arc"),
     )
     first = F.coalesce(F.col("at"), F.lit(0)) == 0
     zero = F.lit(0).cast("bigint")
     rows = per_line.select(
         F.col("arc.lexeme").alias("word"),
-        F.col("arc.feature").alias("feature"),
+        make_feature(F.col("arc.head"), F.col("arc.dep")).alias("feature"),
         F.when(F.col("at").isNotNull(), F.col("cnt")).otherwise(zero).alias("cnt"),
         F.when(first, F.col("l_line")).otherwise(zero).alias("l_part"),
         F.when(first, F.col("f_line")).otherwise(zero).alias("f_part"),

@@ -74,9 +74,9 @@ def accepted_ngrams(lines: DataFrame, line: str = "value") -> DataFrame:
     The three tests are one pattern on the raw line: it runs inside the scan and
     only the lines that pass are split.
     """
-    good = lines.filter(F.col(line).rlike(GOOD_LINE)).select(fields(F.col(line)).alias("f"))
+    good = lines.filter(F.col(line).rlike(GOOD_LINE)).select(F.split(line, "\t", 4).alias("f"))
     split = good.select(
-        words(F.get("f", F.lit(0))).alias("w"),
+        F.split(F.get("f", F.lit(0)), "\\s+", 4).alias("w"),
         F.get("f", F.lit(1)).try_cast("int").alias("year"),
         F.get("f", F.lit(2)).cast("bigint").alias("cnt"),
     )

@@ -11,6 +11,11 @@ def local_session(cores: str | int = "*", name: str = "corpusloom", **conf: str)
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Joins go by measured sizes. A file's size says little about the n-grams in
+        # it, so the estimate made before the run never decides on a broadcast.
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
