@@ -206,13 +206,18 @@ def pair_contexts(tri: DataFrame) -> DataFrame:
 
 
 def assemble_params(tri: DataFrame) -> DataFrame:
-    """Every trigram with its parameters n1, n2, n3, c0, c1, c2."""
+    """Every trigram with its parameters n1, n2, n3, c0, c1, c2.
+
+    The join on the context (w1, w2) comes before the other, so that a later
+    ranking by context shuffles again: each task then cuts its part of a large
+    context first, and the skewed join itself stays open to splitting.
+    """
     contexts = pair_contexts(tri)
     total = fold_unigrams(bigram_counts(tri)).agg(F.expr("3 * (sum(word_cnt) div 2)").alias("c0"))
     after = contexts.toDF("w2", "w3", "n2", "n1")
     before = contexts.toDF("w1", "w2", "c2", "c1")
     return (
-        tri.join(after, ["w2", "w3"])
-        .join(before, ["w1", "w2"])
+        tri.join(before, ["w1", "w2"])
+        .join(after, ["w2", "w3"])
         .select(*WORDS, "n1", "n2", F.col("cnt").alias("n3"), total.scalar().alias("c0"), "c1", "c2")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.sizing import broadcast_if_small
 from corpusloom.workspace import materialize
 
 # A group with more rows than this is ranked by a distributed sort.
@@ -40,16 +41,18 @@ def rank_in_group(
     table = materialize(df, "ranking")
     sizes = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > large).select(*keys)
     window = Window.partitionBy(*keys).orderBy(*order)
-    if sizes.isEmpty():
-        return table.withColumn(rank, F.row_number().over(window))
     oversize = materialize(sizes, "ranking-keys")
-    small = table.join(oversize, keys, "left_anti").withColumn(rank, F.row_number().over(window))
-    return small.unionByName(_rank_by_range(table.join(oversize, keys, "left_semi"), keys, order, rank))
+    groups = oversize.count()
+    if groups == 0:
+        return table.withColumn(rank, F.row_number().over(window))
+    # At most rows / large keys.
+    listed = broadcast_if_small(oversize, groups)
+    small = table.join(listed, keys, "left_anti").withColumn(rank, F.row_number().over(window))
+    return small.unionByName(_rank_by_range(table.join(listed, keys, "left_semi"), keys, order, rank, groups))
 
 
-def _rank_by_range(df: DataFrame, keys: list[str], order: list[Column], rank: str) -> DataFrame:
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _rank_by_range(df: DataFrame, keys: list[str], order: list[Column], rank: str, groups: int) -> DataFrame:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = materialize(
         df.repartitionByRange(parts, *[F.col(key) for key in keys], *order)
         .sortWithinPartitions(*keys, *order)
@@ -61,6 +64,6 @@ def _rank_by_range(df: DataFrame, keys: list[str], order: list[Column], rank: st
     runs = placed.groupBy(*keys, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.select(*keys, "_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    return placed.join(offsets, [*keys, "_part"]).select(
+    return placed.join(broadcast_if_small(offsets, groups + parts), [*keys, "_part"]).select(
         *df.columns, (F.col("_place") - F.col("_first") + F.col("_before") + 1).cast("int").alias(rank)
     )

@@ -90,16 +90,21 @@ def write_completions(completed: DataFrame, path: str, checkpoint: str) -> Strea
 def write_summaries(completed: DataFrame, lines_path: str, path: str, checkpoint: str) -> StreamingQuery:
     """Write the summary of each job as it completes, then stop when drained.
 
+    Completed jobs go to ``path``/completed, their summaries to ``path``/summaries.
     ``lines_path`` holds the result lines (line_no, line) partitioned by app_id;
     only the folders of the jobs that completed are read.
     """
 
     def save(batch: DataFrame, number: int) -> None:
+        # The micro-batch is run once and whole, to commit its state; the join
+        # below may read only a part of it.
         spark = batch.sparkSession
-        done = batch.select("app_id").distinct()
+        jobs = f"{path}/completed/batch={number}"
+        batch.select("app_id").write.mode("overwrite").parquet(jobs)
+        done = spark.read.schema("app_id string").parquet(jobs).distinct()
         lines = spark.read.schema("line_no bigint, line string, app_id string").parquet(lines_path)
         lines = lines.join(done, "app_id", "left_semi").dropDuplicates(["app_id", "line_no"])
-        write_summary(lines, f"{path}/batch={number}", mode="overwrite")
+        write_summary(lines, f"{path}/summaries/batch={number}", mode="overwrite")
 
     return (
         completed.writeStream.outputMode("update")
