@@ -55,7 +55,8 @@ def track_completion(results: DataFrame, announced: DataFrame) -> DataFrame:
     (app_id, expected). Both feed one running aggregate. It updates a job only
     when a new line or the announcement arrives, and so passes the point where
     the counts meet once. Counting is pre-aggregated before the shuffle: a job
-    with most of the results costs no more than any other.
+    with most of the results costs no more than any other. State holds the key of
+    each line and one row per job.
     """
     zero = F.lit(0).cast("bigint")
     got = results.select("app_id", F.col("line_no").cast("bigint").alias("line_no"), zero.alias("expected"))

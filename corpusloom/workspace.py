@@ -32,7 +32,11 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet in the shared folder and continue from the files."""
+    """Write ``df`` as parquet in the shared folder and continue from the files.
+
+    The files stay for as long as results built on them are in use; emptying the
+    folder afterwards is up to its owner.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)

