@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 ORDER = 3
 UNKNOWN = "und"
-SLICE = 1 << 21
+SLICE = 1 << 19
 
 
 @dataclass

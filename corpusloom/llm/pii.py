@@ -82,8 +82,12 @@ class Pseudonyms:
         return permute(value, size, self.key, kind, self.back)
 
     def _symbols(self, text: str, kind: str) -> str:
-        """Permutes digits among digits and ASCII letters among letters of their case, all together; the rest stays."""
-        sets = ["0123456789" if c in "0123456789" else ALPHABET if c in ALPHABET else ALPHABET.upper() if c in ALPHABET.upper() else "" for c in text]
+        """Permutes digits among digits and ASCII letters among letters of their case, all together; the rest stays.
+
+        Text of hexadecimal digits alone stays hexadecimal.
+        """
+        hexadecimal = kind == "secret" and not set(text) - set("0123456789abcdef")
+        sets = [HEXADECIMAL if hexadecimal else "0123456789" if c in "0123456789" else ALPHABET if c in ALPHABET else ALPHABET.upper() if c in ALPHABET.upper() else "" for c in text]
         value, size = 0, 1
         for c, chars in zip(text, sets, strict=True):
             if chars:
@@ -165,8 +169,10 @@ class Pseudonyms:
         size = (date(year // 100 * 100 + 99, 12, 31) - start).days + 1
         new = start + timedelta(self._turn((value - start).days, size, f"date{start.year}"))
         middle, last = (new.day, new.month) if flip else (new.month, new.day)
-        parts = [f"{new.year:04d}", f"{middle:02d}", f"{last:02d}"]
-        return _fill(re.sub(r"\d+", lambda m: "0" * (4 if len(m[0]) == 4 else 2), text), "".join(parts if first else parts[::-1]))
+        width = 1 if any(len(n) == 1 for n in numbers) else 2
+        parts = [f"{new.year}", f"{middle:0{width}d}", f"{last:0{width}d}"]
+        mark = re.sub(r"\d", "", text)[0]
+        return mark.join(parts if first else parts[::-1])
 
     def email(self, text: str) -> str | None:
         name, _, host = text.rpartition("@")
@@ -182,19 +188,21 @@ class Pseudonyms:
         if text is None or not HINT.search(text):
             return text, []
         kinds: list[str] = []
-
-        def one(m: re.Match) -> str:
+        out, at, look = [], 0, 0
+        while m := FIND.search(text, look):
             new = getattr(self, m.lastgroup)(m[0])
-            if new is None:
-                return m[0]
+            if new is None:  # something valid may begin inside
+                look = m.start() + 1
+                continue
             kinds.append(m.lastgroup)
-            return new
-
-        return FIND.sub(one, text), kinds
+            out += [text[at : m.start()], new]
+            at = look = m.end()
+        return "".join([*out, text[at:]]), kinds
 
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
-HINT = re.compile(r"[0-9@]")
+HEXADECIMAL = "0123456789abcdef"
+HINT = re.compile(r"[0-9@=:]|AKIA")
 # The layouts of values, in order of precedence where several begin at one place.
 FIND = re.compile(
     r"""
@@ -206,7 +214,7 @@ FIND = re.compile(
     | (?P<day>(?<![\w./-])(?:(?:19|20)[0-9]{2}(?P<s1>[-/.])[0-9]{2}(?P=s1)[0-9]{2}|[0-9]{1,2}(?P<s2>[-/.])[0-9]{1,2}(?P=s2)(?:19|20)[0-9]{2})(?![\w/-]|[.][0-9]))
     | (?P<social>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))
     | (?P<address>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|[.][0-9]))
-    | (?P<card>(?<![\w.-])[2-6][0-9]{3}(?:[ -]?[0-9]){9,15}(?![\w-]))
+    | (?P<card>(?<![\w.-])(?:[2-6][0-9]{12,18}|[2-6][0-9]{3}(?P<s3>[ -])[0-9]{4}(?P=s3)[0-9]{4}(?P=s3)[0-9]{1,7}|3[0-9]{3}(?P<s4>[ -])[0-9]{6}(?P=s4)[0-9]{5})(?![\w-]))
     | (?P<international>(?<![\w.])\+[1-9][0-9](?:[ .-]?\(?[0-9]{1,5}\)?){2,6}(?![\w-]))
     """,
     re.VERBOSE,

@@ -2,15 +2,14 @@
 
 Documents are linked when their texts are equal. All documents of one text that began
 in the same shard form a cell, and cells are what moves: in each round the cells of a
-text are drawn to the shard that holds most of its documents, and of all that want to
-go from one shard to another only so many go as the quota of that pair allows. At the
-end, documents are laid out by their shard and text and the layout is cut into runs of
+text go to the shard that holds most of its documents, and shards that this takes
+above their quota send whole texts to shards below theirs. At the end, documents are laid out by their shard and text and the layout is cut into runs of
 equal count, which settles the last few rows and cuts at most one text per boundary.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import join_apart
@@ -18,64 +17,80 @@ from corpusloom.workspace import materialize
 
 SHARDS = 24
 OVERHEAD = 8
-SLACK = 1.05
-
-
-def _quotas(wishes: dict[tuple[int, int], int], load: list[int], room: float) -> dict[tuple[int, int], float]:
-    """Share of each pair's wishes that may move: what comes back the other way, and what there is room for."""
-    swap = {(i, j): min(n, wishes.get((j, i), 0)) for (i, j), n in wishes.items()}
-    free = [max(0.0, room - x) for x in load]
-    left = {pair: n - swap[pair] for pair, n in wishes.items()}
-    into = [sum(n for (_, j), n in left.items() if j == s) for s in range(len(load))]
-    return {(i, j): (swap[i, j] + (left[i, j] * min(1.0, free[j] / into[j]) if into[j] else 0.0)) / n for (i, j), n in wishes.items()}
 
 
 def _wanted(cells: DataFrame, capacity: int) -> DataFrame:
-    """``cells`` with ``target``: where each cell is drawn to.
+    """``cells`` with ``target``, where each is drawn to, and ``free``: a text at rest that may be asked to leave.
 
     A text with more documents than a shard holds is drawn to as many shards as it
     needs, those that hold most of it; its cells elsewhere are dealt over them.
     """
     held = cells.groupBy("text_key", "shard").agg(F.sum("n").alias("n"))
+    # A text has at most as many rows here as there are shards.
     order = Window.partitionBy("text_key").orderBy(F.desc("n"), F.xxhash64("text_key", "shard"))
     total = Window.partitionBy("text_key")
     ranked = held.select(
         "text_key",
         "shard",
         (F.row_number().over(order) - 1).alias("place"),
-        F.ceil(F.sum("n").over(total) / F.lit(capacity)).cast("int").alias("need"),
+        F.sum("n").over(total).alias("all"),
         F.count(F.lit(1)).over(total).cast("int").alias("in_use"),
-    ).withColumn("slot", F.pmod(F.col("place"), F.least("need", "in_use")))
+    )
+    need = F.least(F.ceil(F.col("all") / F.lit(capacity)).cast("int"), F.col("in_use"))
+    ranked = ranked.withColumn("slot", F.pmod(F.col("place"), need))
     homes = ranked.filter("place = slot").select("text_key", "slot", F.col("shard").alias("target"))
-    moves = ranked.join(homes, ["text_key", "slot"]).select("text_key", "shard", "target")
+    free = (F.col("in_use") == 1) & (F.col("all") <= max(1, capacity // 8))
+    moves = ranked.join(homes, ["text_key", "slot"]).select("text_key", "shard", "target", free.alias("free"))
     return cells.join(moves, ["text_key", "shard"])
 
 
+def _evictions(load: list[int], free: list[int], capacity: int) -> tuple[list[float], list[float]]:
+    """By shard: the share of its free texts that leave, and the share of all that leave that it takes up."""
+    over = [max(0, x - capacity) for x in load]
+    room = [max(0, capacity - x) for x in load]
+    leave = [min(1.0, o / f) if f else 0.0 for o, f in zip(over, free, strict=True)]
+    space = sum(room) or 1
+    return leave, [r / space for r in room]
+
+
+def _uniform(*what) -> Column:
+    return F.pmod(F.xxhash64(*what), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
 def propagate(cells: DataFrame, shards: int, rounds: int = 8) -> DataFrame:
     """(text_key, first, shard) of ``cells`` (text_key, first, n) after moving.
 
-    At most ``shards`` cells belong to a text, whatever the number of its documents.
-    Each round's cells are written to the shared folder. It ends when no cell wants to
-    move, or after ``rounds``.
+    In a round every cell goes where its text draws it. Where that takes a shard above
+    its quota, texts at rest there, whole ones, are drawn by lot to leave for shards
+    below theirs, in proportion to the room left. At most ``shards`` cells belong to a
+    text, whatever the number of its documents. Each round's cells are written to the
+    shared folder. It ends when no cell is drawn elsewhere and no shard is over its
+    quota by more than one part in 200, or after ``rounds``.
     """
     now = materialize(cells.withColumn("shard", F.col("first")), "cells")
     total = now.agg(F.sum("n")).first()[0] or 0
     capacity = max(1, -(-total // shards))
     for step in range(rounds):
         wanted = materialize(_wanted(now, capacity), "cells")
-        rows = wanted.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()  # shards squared at most
-        load = [sum(r.n for r in rows if r.shard == s) for s in range(shards)]
-        wishes = {(r.shard, r.target): r.n for r in rows if r.shard != r.target}
+        rows = wanted.groupBy("shard", "target", "free").agg(F.sum("n").alias("n")).collect()  # twice shards squared at most
+        load = [sum(r.n for r in rows if r.target == s) for s in range(shards)]
+        free = [sum(r.n for r in rows if r.target == s and r.free) for s in range(shards)]
         now = wanted
-        if not wishes:
+        if all(r.shard == r.target for r in rows) and max(load) <= capacity + capacity // 200 + 1:
             break
-        share = _quotas(wishes, load, SLACK * capacity)
-        grid = F.array(*[F.lit(float(share.get((i, j), 0.0))) for i in range(shards) for j in range(shards)])
-        # A text's cells draw the same lot, so that they go together.
-        lot = F.pmod(F.xxhash64(F.lit(step), "text_key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        goes = lot < F.element_at(grid, F.col("shard") * shards + F.col("target") + 1)
-        now = wanted.withColumn("shard", F.when(goes, F.col("target")).otherwise(F.col("shard")))
-        now = materialize(now.select("text_key", "first", "n", "shard"), "cells")
+        leave, take = _evictions(load, free, capacity)
+        # A text's cells draw the same lots, so that they go together.
+        leaves = F.col("free") & (_uniform(F.lit(2 * step), "text_key") < F.element_at(F.array(*[F.lit(x) for x in leave]), F.col("target") + 1))
+        lot, upto, home = _uniform(F.lit(2 * step + 1), "text_key"), 0.0, F.lit(shards - 1)
+        steps = []
+        for s, share in enumerate(take):
+            upto += share
+            steps.append((upto, s, share))
+        for upto, s, share in reversed(steps):
+            if share:
+                home = F.when(lot < upto, F.lit(s)).otherwise(home)
+        to = F.when(leaves, home).otherwise(F.col("target")) if any(take) else F.col("target")
+        now = materialize(wanted.select("text_key", "first", "n", to.cast("int").alias("shard")), "cells")
     return now.select("text_key", "first", "shard")
 
 
