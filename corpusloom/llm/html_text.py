@@ -319,9 +319,14 @@ def labelled_pages(pages: list[str], variants: int = 6, seed: int = 3) -> list[l
 
 
 def train(pages: DataFrame, train_pages: int = 80, variants: int = 6) -> Field:
-    """A field from at most ``train_pages`` pages of at most 20,000 characters, chosen by a hash of their text."""
-    usable = pages.filter("html IS NOT NULL AND length(html) <= 20000 AND html ILIKE '%<article%'").select("html")
-    sample = usable.select("html", F.xxhash64("html").alias("place")).orderBy("place", "html").limit(train_pages)
+    """A field from at most ``train_pages`` different pages of at most 20,000 characters, chosen by a hash of their text."""
+    usable = pages.filter("html IS NOT NULL AND length(html) <= 20000 AND html ILIKE '%<article%'")
+    placed = usable.select("html", F.xxhash64("html").alias("place"))
+    # Hashes are ranked first, so that no task sends pages that are not among the chosen.
+    last = placed.select("place").distinct().orderBy("place").limit(train_pages).agg(F.max("place")).first()[0]
+    if last is None:
+        return fit([])
+    sample = placed.filter(F.col("place") <= last).groupBy("place").agg(F.min("html").alias("html"))
     return fit(labelled_pages([r.html for r in sample.collect()], variants))
 
 
