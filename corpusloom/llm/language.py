@@ -47,7 +47,7 @@ def _grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
         gram[back:] |= data[:-back].astype(np.uint32) << np.uint32(8 * back)
     for done in range(ORDER):
         at = starts + done
-        gram[at[at < ends]] &= np.uint32((1 << 8 * (done + 1)) - 1)
+        gram[at[at < np.minimum(ends, len(data))]] &= np.uint32((1 << 8 * (done + 1)) - 1)
     return gram
 
 
@@ -117,15 +117,18 @@ def _costs(trees: Trees, gram: np.ndarray, k: int) -> np.ndarray:
 def code_lengths(trees: Trees, column: pa.Array) -> np.ndarray:
     """Bits of every text (rows) under every language (columns)."""
     data, at = _texts(column)
-    gram = _grams(data, at[:-1], at[1:])
     bits = np.zeros((len(trees.langs), len(column)))
     for low in range(0, len(data), SLICE):
         high = min(low + SLICE, len(data))
+        lead = max(0, low - ORDER)
+        begins = slice(*np.searchsorted(at, [lead, high]))
+        ends = at[begins.start + 1 : begins.stop + 1] - lead
+        gram = _grams(data[lead:high], at[begins] - lead, ends)[low - lead :]
         first = int(np.searchsorted(at, low, side="right")) - 1
         last = int(np.searchsorted(at, high, side="left"))
         inside = np.clip(at[first:last], low, high) - low
         docs = np.flatnonzero(np.diff(np.append(inside, high - low)) > 0)
-        sums = np.add.reduceat(_costs(trees, gram[low:high], ORDER), inside[docs], axis=1, dtype=np.float64)
+        sums = np.add.reduceat(_costs(trees, gram, ORDER), inside[docs], axis=1, dtype=np.float64)
         bits[:, first + docs] += sums
     return bits.T
 
@@ -164,17 +167,16 @@ def predict(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
     """
     known = docs.sparkSession.sparkContext.broadcast(trees)
 
-    @F.pandas_udf("lang string, score double")
-    def best(texts):
-        import pandas as pd
-
+    @F.arrow_udf("lang string, score double")
+    def best(texts: pa.Array) -> pa.Array:
         trees = known.value
-        if not len(texts) or not trees.langs:
-            return pd.DataFrame({"lang": [UNKNOWN] * len(texts), "score": [0.0] * len(texts)})
-        bits = code_lengths(trees, pa.array(texts, type=pa.large_string()))
-        won = bits.argmin(axis=1)
-        odds = np.exp2(np.maximum(bits.min(axis=1)[:, None] - bits, -1000.0)).sum(axis=1)
-        return pd.DataFrame({"lang": np.array(trees.langs, dtype=object)[won], "score": 1.0 / odds})
+        if len(texts) and trees.langs:
+            bits = code_lengths(trees, texts)
+            lang = pa.array(trees.langs).take(pa.array(bits.argmin(axis=1)))
+            odds = np.exp2(np.maximum(bits.min(axis=1)[:, None] - bits, -1000.0)).sum(axis=1)
+        else:
+            lang, odds = pa.array([UNKNOWN] * len(texts), pa.string()), np.full(len(texts), np.inf)
+        return pa.StructArray.from_arrays([lang, pa.array(1.0 / odds)], ["lang", "score"])
 
     found = docs.withColumn("_best", best(F.lower(text_col)))
     worded = has_letter(F.col(text_col))
