@@ -12,14 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 WORDS = 10
 # Benchmark text broadcast at once; a larger benchmark is scanned in several blocks.
 BLOCK_BYTES = 32 << 20
-SLICE = 1 << 22
+SLICE = 1 << 19
 
 _CLASS = np.zeros(256, dtype=bool)
 _CLASS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -135,10 +134,10 @@ class TestSet:
 
 
 def _groups(texts: list[str]) -> Iterator[list[str]]:
-    """Texts in groups of about 2 million characters, longer ones alone."""
+    """Texts in groups of about 250,000 characters, longer ones alone."""
     group, size = [], 0
     for text in texts:
-        if group and size + len(text) > 2_000_000:
+        if group and size + len(text) > 250_000:
             yield group
             group, size = [], 0
         group.append(text)
@@ -150,7 +149,10 @@ def _scanner(known):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = known.value
         for batch in batches:
-            found = [row for group in _groups([t or "" for t in batch.column("text").to_pylist()]) for row in tests.scan(group)]
+            found = []
+            for low in range(0, batch.num_rows, 500):
+                texts = batch.column("text").slice(low, 500).to_pylist()
+                found += [row for group in _groups([t or "" for t in texts]) for row in tests.scan(group)]
             columns = {c: batch.column(c) for c in batch.schema.names}
             columns["n_words"] = pa.array([n for n, _, _, _ in found], pa.int64())
             columns["first"] = pa.array([x for _, x, _, _ in found], pa.list_(pa.int64()))
@@ -161,20 +163,17 @@ def _scanner(known):
     return scan
 
 
-def covered(spans: list[tuple[int, int]]) -> int:
-    """Words inside any of the spans (first word, length)."""
-    n = end = 0
-    for first, length in sorted(spans):
-        n += max(0, first + length - max(first, end))
-        end = max(end, first + length)
-    return n
+def covered(first: str, length: str) -> Column:
+    """Words inside any of the spans of two array columns."""
+    spans = F.array_sort(F.arrays_zip(F.col(first).alias("at"), F.col(length).alias("n")))
+    nothing = F.struct(F.lit(0).cast("long").alias("words"), F.lit(0).cast("long").alias("end"))
 
+    def add(sum_: Column, span: Column) -> Column:
+        end = span["at"] + span["n"]
+        new = F.greatest(F.lit(0), end - F.greatest(span["at"], sum_["end"]))
+        return F.struct((sum_["words"] + new).cast("long").alias("words"), F.greatest(end, sum_["end"]).cast("long").alias("end"))
 
-@F.pandas_udf(LongType())
-def _covered(first, length):
-    import pandas as pd
-
-    return pd.Series([covered(list(zip(a, b, strict=True))) for a, b in zip(first, length, strict=True)], dtype="int64")
+    return F.aggregate(spans, nothing, add, lambda sum_: sum_["words"])
 
 
 def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
@@ -222,7 +221,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("
                 F.array_sort(F.array_union("_before.items", "items")).alias("items"),
             )
         found = scanned
-    return found.select(*keep, "n_words", "first", "length", _covered("first", "length").alias("n_hit"), "items")
+    return found.select(*keep, "n_words", "first", "length", covered("first", "length").alias("n_hit"), "items")
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -195,22 +195,27 @@ def _probe(hashes: DataFrame, index: DataFrame, shards: int, least_docs: int) ->
     return both.mapInArrow(_prober(least_docs), "id long, h1 long")
 
 
-@F.pandas_udf(StructType([StructField("n_dropped", LongType()), StructField("kept", StringType())]))
-def _rewrite(texts, gone):
-    import pandas as pd
+KEPT = StructType([StructField("n_dropped", LongType()), StructField("kept", StringType())])
+
+
+@F.arrow_udf(KEPT)
+def _rewrite(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    """Number of lines dropped, and the lines kept where any line is."""
     import xxhash
 
-    def one(text: str, drop) -> tuple[int, str]:
-        drop, kept, n = {int(x) & 0xFFFFFFFFFFFFFFFF for x in drop}, [], 0
-        for line in text.split("\n"):
-            if xxhash.xxh64_intdigest(line.strip(SPACE).encode().lower(), 42) in drop:
-                n += 1
-            else:
-                kept.append(line)
-        return n, "\n".join(kept)
-
-    rows = [(0, None) if text is None or drop is None else one(text, drop) for text, drop in zip(texts, gone, strict=True)]
-    return pd.DataFrame(rows, columns=["n_dropped", "kept"])
+    counts, kept = [], []
+    for text, hashes in zip(texts, gone, strict=True):
+        n, lines = 0, None
+        if hashes.is_valid and text.is_valid:
+            drop, lines = {x & 0xFFFFFFFFFFFFFFFF for x in hashes.as_py()}, []
+            for line in text.as_py().split("\n"):
+                if xxhash.xxh64_intdigest(line.strip(SPACE).encode().lower(), 42) in drop:
+                    n += 1
+                else:
+                    lines.append(line)
+        counts.append(n)
+        kept.append(None if lines is None else "\n".join(lines))
+    return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(kept, pa.string())], ["n_dropped", "kept"])
 
 
 def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:

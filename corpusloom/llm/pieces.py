@@ -27,7 +27,7 @@ MARK = "▁"
 # Stand for a mark of the text itself until it is written as bytes, and for a cut; no text holds a lone surrogate.
 OWN = "\ud800"
 CUT = "\ud801"
-MEMO = 600_000
+MEMO = 250_000
 
 
 @dataclass
@@ -166,7 +166,7 @@ class _Arrays:
 
 
 class Encoder:
-    """Encodes and decodes texts.
+    """Encodes texts.
 
     A place between two characters that stand side by side in no piece is a boundary of
     every path, so what lies between such places is encoded by itself and remembered.
@@ -275,10 +275,11 @@ class Encoder:
         get = self.memo.__getitem__
         return [b"".join(map(get, u)) for u in units]
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of ids that :meth:`encode` gave; ids of other origin may hold broken bytes, which become U+FFFD."""
-        raw = b"".join(map(self.v.texts.__getitem__, ids.tolist()))
-        return raw[1:].decode(errors="replace") if raw.startswith(b" ") else raw.decode(errors="replace")
+
+def decode(texts: list[bytes], ids: np.ndarray) -> str:
+    """The text of ids, given the text of every piece; ids that no encoding gave may hold broken bytes, which become U+FFFD."""
+    raw = b"".join(map(texts.__getitem__, ids.tolist()))
+    return raw[1:].decode(errors="replace") if raw.startswith(b" ") else raw.decode(errors="replace")
 
 
 def _encoder(known):
@@ -287,9 +288,9 @@ def _encoder(known):
         for batch in batches:
             at = batch.schema.names.index("_text")
             texts = batch.column(at)
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                raw = encoder.encode([t or "" for t in texts.slice(low, 1000).to_pylist()])
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                raw = encoder.encode([t or "" for t in texts.slice(low, 500).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
                 ids = pa.ListArray.from_arrays(pa.array(offsets), values)
@@ -299,15 +300,15 @@ def _encoder(known):
 
 
 def _decoder(known):
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(known.value)
+    def decode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = known.value
         for batch in batches:
-            ids = batch.column("ids")
-            rows = range(batch.num_rows)
-            texts = pa.array([None if not ids[i].is_valid else encoder.decode(ids[i].values.to_numpy()) for i in rows], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "decoded"])
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                rows = [decode(texts, ids.values.to_numpy()) if ids.is_valid else None for ids in part.column("ids")]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, pa.string())], [*part.schema.names, "decoded"])
 
-    return decode
+    return decode_all
 
 
 def _schema(df: DataFrame) -> str:
@@ -323,7 +324,7 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...]
 
 def decode_ids(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Add ``decoded``, the text of ``ids``; null ids give null."""
-    known = df.sparkSession.sparkContext.broadcast(vocabulary)
+    known = df.sparkSession.sparkContext.broadcast(vocabulary.texts)
     return df.mapInArrow(_decoder(known), _schema(df) + ", decoded string")
 
 
