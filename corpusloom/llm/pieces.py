@@ -27,7 +27,7 @@ MARK = "▁"
 # Stand for a mark of the text itself until it is written as bytes, and for a cut; no text holds a lone surrogate.
 OWN = "\ud800"
 CUT = "\ud801"
-MEMO = 250_000
+MEMO = 60_000
 
 
 @dataclass
@@ -288,13 +288,15 @@ def _encoder(known):
         for batch in batches:
             at = batch.schema.names.index("_text")
             texts = batch.column(at)
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
-                raw = encoder.encode([t or "" for t in texts.slice(low, 500).to_pylist()])
+            for low in range(0, batch.num_rows, 100):
+                part = batch.slice(low, 100)
+                raw = encoder.encode([t or "" for t in texts.slice(low, 100).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
                 ids = pa.ListArray.from_arrays(pa.array(offsets), values)
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
+        # The worker lives on; what it does not need goes back.
+        pa.default_memory_pool().release_unused()
 
     return encode
 
@@ -303,10 +305,11 @@ def _decoder(known):
     def decode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = known.value
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
+            for low in range(0, batch.num_rows, 100):
+                part = batch.slice(low, 100)
                 rows = [decode(texts, ids.values.to_numpy()) if ids.is_valid else None for ids in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, pa.string())], [*part.schema.names, "decoded"])
+        pa.default_memory_pool().release_unused()
 
     return decode_all
 
