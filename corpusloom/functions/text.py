@@ -29,8 +29,16 @@ def spaced(text: Column) -> Column:
     return F.when((stripped == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(stripped, " "))
 
 
-# A count: at most 18 digits, so that it fits a bigint.
-COUNT = "[+-]?[0-9]{1,18}"
+def _up_to(most: str) -> str:
+    """Pattern of the decimal numbers from 0 to ``most``, leading zeros allowed."""
+    rest = len(most) - 1
+    choices = [f"[0-9]{{1,{rest}}}", most]
+    choices += [f"{most[:i]}[0-{int(d) - 1}][0-9]{{{rest - i}}}" for i, d in enumerate(most) if d != "0"]
+    return f"0*(?:{'|'.join(choices)})"
+
+
+# A count: any whole number, zero-padded or not, whose size fits a bigint.
+COUNT = f"[+-]?{_up_to(str(2**63 - 1))}"
 
 
 def whole_number(text: Column) -> Column:

@@ -69,7 +69,7 @@ def with_arcs(lines: DataFrame, stem: Callable[[Column], Column] | None = None,
         return F.struct(
             F.get("words", at).alias("lexeme"),
             F.get(parts, F.lit(2)).alias("dep"),
-            F.get("words", F.get(parts, F.lit(3)).try_cast("int") - 1).alias("head"),
+            F.get("words", F.try_subtract(F.get(parts, F.lit(3)).try_cast("int"), F.lit(1))).alias("head"),
         )
 
     def real(a: Column) -> Column:

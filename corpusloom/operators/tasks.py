@@ -59,7 +59,8 @@ def parallelism_per_app(tasks: DataFrame, per_worker: Column | int, most: int =
 def content_problem(http_status: Column, content_type: Column) -> Column:
     """Why landed content cannot be used, or null."""
     return F.when(
-        http_status != 200, F.concat(F.lit("Failed to connect, HTTP response code: "), http_status.cast("string"))
+        ~http_status.eqNullSafe(200),
+        F.concat(F.lit("Failed to connect, HTTP response code: "), F.coalesce(http_status.cast("string"), F.lit("null"))),
     ).when(
         ~content_type.eqNullSafe(EXPECTED_TYPE),
         F.concat(F.lit("Error: Unexpected content type: "), F.coalesce(content_type, F.lit("null"))),
@@ -109,7 +110,7 @@ def convert_tasks(
     checked = joined.withColumn("cause", cause).withColumn(
         "error",
         F.coalesce(
-            F.when(F.col("cause").isNotNull(), F.concat(F.lit("Failed to download PDF from URL: "), "url")),
+            F.when(F.col("cause").isNotNull(), F.concat(F.lit("Failed to download PDF from URL: "), F.coalesce("url", F.lit("")))),
             operation_problem(F.col("op")),
         ),
     )

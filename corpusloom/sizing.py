@@ -39,9 +39,12 @@ def broadcast_if_small(df: DataFrame, known_rows: int | None = None) -> DataFram
     return F.broadcast(df) if small else df
 
 
-def target_partitions(lines: int, per_worker: int, most: int = 8) -> int:
-    """Number of parallel tasks for a job: one per ``per_worker`` lines, at most ``most``."""
-    return min(most, math.ceil(lines / per_worker))
+def target_partitions(lines: int, per_worker: int, most: int = 8, as_written: bool = False) -> int:
+    """Number of parallel tasks for a job: one per ``per_worker`` lines, at most ``most``.
+
+    ``as_written`` rounds down, so that a job of fewer lines gets none.
+    """
+    return min(most, lines // per_worker if as_written else math.ceil(lines / per_worker))
 
 
 def target_partitions_column(lines: Column, per_worker: Column | int, most: int = 8) -> Column:
