@@ -9,14 +9,22 @@ from pyspark.sql import functions as F
 
 from corpusloom import fixtures as fx
 from corpusloom.functions.reports import to_html, to_text, url_object_key
-from corpusloom.functions.stemming import stem_column, stem_words
+from corpusloom.functions.stemming import stem_word, stem_words
 from corpusloom.functions.text import tokens
 from corpusloom.functions.vectors import aligned, array_measures
 from corpusloom.operators import arcs, association, ngrams, similarity, tasks
 from corpusloom.plans import next_word
 from corpusloom.plans.similarity import corpus_statistics, gold_similarity
 from corpusloom.sources import matrices
-from corpusloom.sources.corpus import gold_pairs, read_vocabulary
+from corpusloom.sources.corpus import (
+    gold_pairs,
+    numbered_shards,
+    read_arc_lines,
+    read_gold_pairs,
+    read_ngrams,
+    read_vocabulary,
+    select_input_files,
+)
 from corpusloom.sources.documents import documents_by_url, parse_tasks, write_ordered_text, write_outputs
 from corpusloom.streaming import jobs
 from corpusloom.workspace import materialize, new_path
@@ -76,7 +84,48 @@ def ngram_line_rejects(spark, sf_dir):
 @query
 def stopword_filter(spark, sf_dir):
     trigrams = fx.tri(spark, sf_dir)
-    return ngrams.drop_stopword_ngrams(trigrams, fx.stopword_list(trigrams), known_rows=20)
+    return ngrams.drop_stopword_ngrams(trigrams, fx.stopword_list(trigrams))
+
+
+@query
+def rare_word_filter(spark, sf_dir):
+    """Trigrams without a word of a long list."""
+    trigrams = fx.tri(spark, sf_dir)
+    return ngrams.drop_stopword_ngrams(trigrams, fx.rare_words(trigrams))
+
+
+@query
+def fivegram_counts(spark, sf_dir):
+    grams = ngrams.ngrams(fx.documents(spark, sf_dir), 5)
+    return grams.groupBy(F.array_join("gram", " ").alias("gram")).agg(F.sum("cnt").alias("cnt"))
+
+
+@query
+def ngram_files(spark, sf_dir):
+    """The n-gram lines as text files, read back."""
+    path = new_path(spark, "ngram-lines")
+    fx.ngram_lines(spark, sf_dir).write.text(path)
+    good = read_ngrams(spark, path, "text")
+    return good.groupBy("w1", "w2", "w3").agg(F.sum("cnt").alias("cnt"), F.max("year").alias("last_year"))
+
+
+@query
+def ngram_tables(spark, sf_dir):
+    """Trigram rows of every source as parquet, read back."""
+    path = new_path(spark, "ngram-table")
+    rows = fx.trigram_rows_by_source(spark, sf_dir)
+    rows.select("w1", "w2", "w3", F.lit(2000).alias("year"), "cnt").write.parquet(path)
+    return ngrams.trigram_counts(read_ngrams(spark, path))
+
+
+@query
+def ngram_shards(spark, sf_dir):
+    """Shards by source, some of them chosen by number and by path before reading."""
+    path = new_path(spark, "ngram-shards")
+    rows = fx.trigram_rows_by_source(spark, sf_dir)
+    rows.withColumn("year", F.lit(2000)).filter(F.col("source").rlike("^src[0-9]$")).write.partitionBy("source").parquet(path)
+    shards = numbered_shards(path + "/source=src{}", range(10))
+    return ngrams.trigram_counts(read_ngrams(spark, select_input_files(shards, lambda shard: shard[-1] in "037")))
 
 
 @query
@@ -120,7 +169,7 @@ def next_word_prob_as_written(spark, sf_dir):
 @query
 def next_word_prob_no_stopwords(spark, sf_dir):
     rows = fx.trigram_rows(spark, sf_dir)
-    kept = ngrams.drop_stopword_ngrams(rows, fx.stopword_list(rows), known_rows=20)
+    kept = ngrams.drop_stopword_ngrams(rows, fx.stopword_list(rows))
     return _rounded(next_word.scored_trigrams(kept), "prob")
 
 
@@ -177,7 +226,7 @@ def _statistics(spark, sf_dir, stem=None):
     words = fx.vocabulary(trigrams)
     if stem:
         words = words.select(F.get(stem(F.array("lexeme")), F.lit(0)).alias("lexeme"))
-    return words, arcs.arc_statistics(arcs.with_arcs(lines, stem), words, known_rows=fx.VOCABULARY_ROWS)
+    return words, arcs.arc_statistics(arcs.with_arcs(lines, stem), words)
 
 
 @query
@@ -187,6 +236,15 @@ def arc_line_filter(spark, sf_dir):
     return lines.groupBy(F.size("toks").alias("n_toks")).agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("cnt"))
 
 
+@query
+def arc_files(spark, sf_dir):
+    """The arc lines as text files, read back."""
+    path = new_path(spark, "arc-lines")
+    fx.arc_lines(fx.tri(spark, sf_dir)).write.text(path)
+    rows = arcs.explode_arcs(arcs.with_arcs(read_arc_lines(spark, path)))
+    return rows.groupBy("lexeme", "dep", "head").agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("cnt"))
+
+
 @query
 def arc_line_rejects(spark, sf_dir):
     return arcs.rejected_arc_lines(fx.arc_lines(fx.tri(spark, sf_dir)))
@@ -232,7 +290,7 @@ def vocabulary_arcs(spark, sf_dir):
     """Arcs of vocabulary words by semi join."""
     trigrams, lines = _arc_lines(spark, sf_dir)
     rows = arcs.explode_arcs(arcs.with_arcs(lines))
-    kept = arcs.in_vocabulary(rows, fx.vocabulary(trigrams), known_rows=fx.VOCABULARY_ROWS)
+    kept = arcs.in_vocabulary(rows, fx.vocabulary(trigrams))
     return kept.groupBy("lexeme", "dep").agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("cnt"))
 
 
@@ -265,8 +323,8 @@ def _assoc(spark, sf_dir):
     """Vocabulary, written statistics and associations of the arc corpus."""
     trigrams, lines = _arc_lines(spark, sf_dir)
     words = materialize(fx.vocabulary(trigrams), "vocabulary")
-    stats = corpus_statistics(lines, words, vocabulary_rows=fx.VOCABULARY_ROWS)
-    return words, stats, association.assoc_from_statistics(stats, vocabulary_rows=fx.VOCABULARY_ROWS)
+    stats = corpus_statistics(lines, words)
+    return words, stats, association.assoc_from_statistics(stats)
 
 
 @query
@@ -299,6 +357,25 @@ def gold_pairs_canonical(spark, sf_dir):
     return similarity.canonical_pairs(gold_pairs(fx.gold_lines(words)))
 
 
+@query
+def gold_pair_files(spark, sf_dir):
+    """Gold lines as text files, the lines of a pair in one file in their order, read back by line number."""
+    path = new_path(spark, "gold-lines")
+    words = F.split("value", "\t")
+    pair = F.array_sort(F.slice(words, 1, 2))
+    lines = fx.gold_lines(fx.vocabulary(fx.tri(spark, sf_dir))).repartition(pair).sortWithinPartitions("line_no")
+    lines.select("value").write.text(path)
+    return similarity.canonical_pairs(read_gold_pairs(spark, path))
+
+
+@query
+def count_tables(spark, sf_dir):
+    """The lexeme counts as a table of their own, read back."""
+    path = new_path(spark, "lexeme-counts")
+    matrices.write_counts(arcs.lexeme_counts(_statistics(spark, sf_dir)[1]), path)
+    return matrices.read_counts(spark, path)
+
+
 @query
 def gold_pairs_as_written(spark, sf_dir):
     words = fx.vocabulary(fx.tri(spark, sf_dir))
@@ -317,7 +394,7 @@ def _similarity(spark, sf_dir, stem=None):
     gold = gold_pairs(fx.gold_lines(words))
     if stem:
         words = words.select(F.get(stem(F.array("lexeme")), F.lit(0)).alias("lexeme"))
-    return gold_similarity(lines, words, gold, stem, vocabulary_rows=fx.VOCABULARY_ROWS)
+    return gold_similarity(lines, words, gold, stem)
 
 
 @query
@@ -350,7 +427,7 @@ def embedding_pair_measures(spark, sf_dir):
 def stemmed_words(spark, sf_dir):
     """Every different word with its stem."""
     words = fx.documents(spark, sf_dir).select(F.explode(tokens(F.col("text"))).alias("word")).distinct()
-    return stem_column(words, "word", "stem")
+    return words.select("word", stem_word("word").alias("stem"))
 
 
 @query
@@ -373,8 +450,15 @@ def _tasks(spark, sf_dir):
     return parse_tasks(fx.task_lines(pages)), documents_by_url(fx.landed_documents(pages))
 
 
+def _asked(spark, sf_dir):
+    """Tasks and the documents they ask for."""
+    pages = fx.table(spark, sf_dir, "pages")
+    todo = parse_tasks(fx.task_lines(pages))
+    return todo, documents_by_url(fx.landed_documents(pages), todo)
+
+
 def _results(spark, sf_dir):
-    return tasks.convert_tasks(*_tasks(spark, sf_dir))
+    return tasks.convert_tasks(*_asked(spark, sf_dir))
 
 
 @query
@@ -426,6 +510,19 @@ def convert_results(spark, sf_dir):
     return _results(spark, sf_dir)
 
 
+@query
+def convert_by_user(spark, sf_dir):
+    """ToImage by a function that gives bytes and fails on some documents."""
+
+    def image(body: str) -> bytes:
+        if len(body) % 3 == 0:
+            raise ValueError("no page to draw")
+        return body.encode()
+
+    results = tasks.convert_tasks(*_asked(spark, sf_dir), {"ToImage": image})
+    return results.withColumn("digest", F.md5("data")).drop("data")
+
+
 @query
 def result_lines(spark, sf_dir):
     return tasks.result_lines(_results(spark, sf_dir))

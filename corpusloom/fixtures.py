@@ -8,10 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.operators.ngrams import frequent_words, sliding_trigrams, trigram_counts
-from corpusloom.sizing import spread
+from corpusloom.operators.ngrams import frequent_words, sliding_trigrams, trigram_counts, word_counts
 
-VOCABULARY_ROWS = 60
+VOCABULARY_COUNT = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, dealt out over the cores where the file is small."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+    """The documents, dealt out anew: the test files have one row group each, which one task would read."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "source").repartition("doc_id")
 
 
 def trigram_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,20 +97,27 @@ def arc_lines(trigrams: DataFrame) -> DataFrame:
 
 
 def vocabulary(trigrams: DataFrame) -> DataFrame:
-    """(lexeme, r): the 60 most frequent last words of at least three letters, numbered by word."""
-    words = frequent_words(trigrams.filter(F.length("w3") >= 3), VOCABULARY_ROWS)
-    return words.select(F.col("word").alias("lexeme"), F.row_number().over(Window.orderBy("word")).alias("r"))
+    """(lexeme, letters, r): last words of at least three letters seen often, numbered by word in their length."""
+    words = word_counts(trigrams).filter((F.col("letters") >= 3) & (F.col("cnt") >= VOCABULARY_COUNT))
+    place = Window.partitionBy("letters").orderBy("word")
+    return words.select(F.col("word").alias("lexeme"), "letters", F.row_number().over(place).alias("r"))
+
+
+def rare_words(trigrams: DataFrame) -> DataFrame:
+    """Last words seen once; a list that grows with the documents."""
+    return word_counts(trigrams).filter("cnt = 1").select("word")
 
 
 def gold_lines(words: DataFrame) -> DataFrame:
-    """Numbered lines `word1, word2, label`: neighbours of rank distance 1 and 7.
+    """Numbered lines `word1, word2, label`: neighbours of rank distance 1 and 7
+    among the words of one length.
 
     Pairs of even rank are reversed; some pairs come again later with the other
     label; some pair a word with itself or with an unknown word.
     """
-    near = words.select(F.col("lexeme").alias("a"), "r", F.explode(F.array(F.lit(1), F.lit(7))).alias("d"))
-    other = words.select(F.col("lexeme").alias("b"), F.col("r").alias("rb"))
-    pairs = near.join(other, F.col("r") + F.col("d") == F.col("rb"))
+    near = words.select(F.col("lexeme").alias("a"), "letters", "r", F.explode(F.array(F.lit(1), F.lit(7))).alias("d"))
+    other = words.select(F.col("lexeme").alias("b"), "letters", F.col("r").alias("rb"))
+    pairs = near.withColumn("rb", F.col("r") + F.col("d")).join(other, ["letters", "rb"])
     same = F.substring("a", 1, 1) == F.substring("b", 1, 1)
     yes, no = F.lit("True"), F.lit("False")
     even = F.col("r") % 2 == 0

@@ -68,5 +68,7 @@ def report_line(line: Column) -> Column:
 
 
 def url_object_key(url: Column) -> Column:
-    """Path of a URL without its leading slash."""
-    return F.substring(F.try_parse_url(url, F.lit("PATH")), 2, 2_147_483_647)
+    """Path of a URL without its leading slash, percent escapes decoded; a bad escape leaves the path as it is."""
+    path = F.substring(F.try_parse_url(url, F.lit("PATH")), 2, 2_147_483_647)
+    # A plus sign of a path is no space.
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)

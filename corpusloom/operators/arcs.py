@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import COUNT, fields, spaced, whole_number
-from corpusloom.sizing import broadcast_if_small
+from corpusloom.joins import lookup_join
 
 SKIP, TAKE = 100, 1000
 
@@ -98,22 +98,23 @@ def distinct_features(arcs: Column) -> Column:
     return F.array_distinct(F.transform(arcs, lambda a: make_feature(a["head"], a["dep"])))
 
 
-def in_vocabulary(arcs: DataFrame, vocabulary: DataFrame, known_rows: int | None = None) -> DataFrame:
+def in_vocabulary(arcs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Rows whose ``lexeme`` is a word of the vocabulary (first column)."""
-    listed = vocabulary.select(F.col(vocabulary.columns[0]).alias("lexeme"))
-    return arcs.join(broadcast_if_small(listed, known_rows), "lexeme", "left_semi")
+    listed = vocabulary.select(F.col(vocabulary.columns[0]).alias("lexeme")).distinct()
+    return lookup_join(arcs, listed, ["lexeme"], "left_semi").select(arcs.columns)
 
 
-def arc_statistics(arc_lines: DataFrame, vocabulary: DataFrame, known_rows: int | None = None) -> DataFrame:
+def arc_statistics(arc_lines: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """All sums of the corpus in one pass: (lexeme, feature, cnt, l_part, f_part).
 
     ``lexeme`` is kept only for vocabulary words and null otherwise, so the table
     has one row per feature plus one per vocabulary pair. The line totals ride on
     each line's first arc; a line without arcs adds a row without a feature.
-    Everything is pre-aggregated before the one shuffle, and the tables below are
-    folded from this result.
+    Arcs are summed by word and feature before they meet the vocabulary, and the
+    tables below are folded from this result.
     """
-    listed = vocabulary.select(F.col(vocabulary.columns[0]).alias("gold")).distinct()
+    word = F.col(vocabulary.columns[0])
+    listed = vocabulary.select(word.alias("word")).distinct().withColumn("lexeme", F.col("word"))
     per_line = arc_lines.select(
         "cnt",
         ((F.col("n_toks") - 1) * F.col("cnt")).alias("l_line"),
@@ -129,12 +130,9 @@ def arc_statistics(arc_lines: DataFrame, vocabulary: DataFrame, known_rows: int
         F.when(first, F.col("l_line")).otherwise(zero).alias("l_part"),
         F.when(first, F.col("f_line")).otherwise(zero).alias("f_part"),
     )
-    small = broadcast_if_small(listed, known_rows)
-    return (
-        rows.join(small, F.col("word") == F.col("gold"), "left")
-        .groupBy(F.col("gold").alias("lexeme"), "feature")
-        .agg(F.sum("cnt").alias("cnt"), F.sum("l_part").alias("l_part"), F.sum("f_part").alias("f_part"))
-    )
+    sums = [F.sum(name).alias(name) for name in ("cnt", "l_part", "f_part")]
+    by_word = rows.groupBy("word", "feature").agg(*sums)
+    return lookup_join(by_word, listed, ["word"], "left").groupBy("lexeme", "feature").agg(*sums)
 
 
 def pair_counts(stats: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import COUNT, fields, tokens, whole_number, words
-from corpusloom.sizing import broadcast_if_small
+from corpusloom.joins import lookup_join
 
 WORDS = ("w1", "w2", "w3")
 
@@ -35,6 +35,14 @@ def sliding_trigrams(docs: DataFrame, text: str = "text", *keep: str) -> DataFra
     return grams.select(*never_null(*WORDS), *keep, F.lit(1).cast("bigint").alias("cnt"))
 
 
+def ngrams(docs: DataFrame, n: int, text: str = "text", *keep: str) -> DataFrame:
+    """Every ``n`` consecutive tokens of ``text`` as (gram array<string>, *keep, cnt=1)."""
+    toks = docs.select(*keep, tokens(F.col(text)).alias("toks")).filter(F.size("toks") >= n)
+    starts = F.sequence(F.lit(1), F.size("toks") - (n - 1))
+    grams = F.transform(starts, lambda i: F.slice("toks", i, n))
+    return toks.select(F.explode(grams).alias("gram"), *keep, F.lit(1).cast("bigint").alias("cnt"))
+
+
 def never_null(*names: str) -> list[Column]:
     """The columns with nullability ruled out.
 
@@ -89,20 +97,18 @@ def rejected_ngrams(lines: DataFrame, line: str = "value") -> DataFrame:
     return staged_ngram_lines(lines, line).filter(F.col("problem").isNotNull()).select("line", "problem")
 
 
-def drop_stopword_ngrams(
-    ngrams: DataFrame, stopwords: Iterable[str] | DataFrame, known_rows: int | None = None
-) -> DataFrame:
+def drop_stopword_ngrams(ngrams: DataFrame, stopwords: Iterable[str] | DataFrame) -> DataFrame:
     """Drop an n-gram if any of its words is in the list.
 
     A Python collection becomes an inlined set test inside the scan. A DataFrame
     (first column) is anti-joined per word.
     """
     if isinstance(stopwords, DataFrame):
-        listed = stopwords.select(F.col(stopwords.columns[0]).alias("stop")).distinct()
-        listed = broadcast_if_small(listed, known_rows)
+        names = ngrams.columns
         for word in WORDS:
-            ngrams = ngrams.join(listed, F.col(word) == F.col("stop"), "left_anti")
-        return ngrams
+            listed = stopwords.select(F.col(stopwords.columns[0]).alias(word)).distinct()
+            ngrams = lookup_join(ngrams, listed, [word], "left_anti")
+        return ngrams.select(names)
     listed = list(stopwords)
     hit = F.lit(False)
     for word in WORDS:
@@ -120,6 +126,16 @@ def frequent_words(ngrams: DataFrame, most: int) -> DataFrame:
     )
 
 
+def word_counts(ngrams: DataFrame) -> DataFrame:
+    """(word, cnt, letters) of last words.
+
+    The length is an aggregate, so that a filter on it stays above the counting and
+    the trigram counts below keep the plan that other branches share.
+    """
+    letters = F.max(F.length("w3")).alias("letters")
+    return ngrams.groupBy(F.col("w3").alias("word")).agg(F.sum("cnt").alias("cnt"), letters)
+
+
 def trigram_counts(ngrams: DataFrame) -> DataFrame:
     """Total count of each trigram over all rows (years, sources) that hold it."""
     return ngrams.groupBy(*WORDS).agg(F.sum("cnt").alias("cnt"))
@@ -200,9 +216,8 @@ def pair_contexts(tri: DataFrame) -> DataFrame:
     here, on distinct bigrams, and not on the trigram table.
     """
     bi = bigram_counts(tri)
-    return bi.join(fold_unigrams(bi), F.col("b") == F.col("word")).select(
-        "a", "b", F.col("cnt").alias("pair_cnt"), "word_cnt"
-    )
+    words = fold_unigrams(bi).withColumnRenamed("word", "b")
+    return lookup_join(bi, words, ["b"]).select("a", "b", F.col("cnt").alias("pair_cnt"), "word_cnt")
 
 
 def assemble_params(tri: DataFrame) -> DataFrame:

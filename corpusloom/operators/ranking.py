@@ -2,68 +2,44 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.sizing import broadcast_if_small
 from corpusloom.workspace import materialize
 
-# A group with more rows than this is ranked by a distributed sort.
-LARGE_GROUP = 2_000_000
-
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of each group by a total ``order``.
 
     Spark limits each group to ``k`` rows before the shuffle, so even a group
-    holding most of the table sends at most ``k`` rows per map task. Beyond the
-    limit that rewrite allows, the same two steps are spelled out with salt.
+    holding most of the table sends at most ``k`` rows per map task. It does so for
+    ``k`` up to ``spark.sql.optimizer.windowGroupLimitThreshold``; raise that for
+    more, or rank in full by :func:`rank_in_group`.
     """
-    if k <= 1000:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(1024)))
-    first = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    kept = salted.withColumn(rank, F.row_number().over(first)).filter(F.col(rank) <= k).drop("_salt", rank)
-    return rank_in_group(kept, keys, order, rank).filter(F.col(rank) <= k)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(window).cast("bigint")).filter(F.col(rank) <= k)
 
 
-def rank_in_group(
-    df: DataFrame, keys: list[str], order: list[Column], rank: str = "rank", large: int = LARGE_GROUP
-) -> DataFrame:
+def rank_in_group(df: DataFrame, keys: list[str], order: list[Column], rank: str = "rank") -> DataFrame:
     """Add the row number of each row in its group, for a total ``order``.
 
-    The table is written once. Groups of up to ``large`` rows use a window. The
-    rows of larger groups, which a window would put into one task each, are
-    range-partitioned by key and order instead: a row's number is its place in
-    its partition plus the sizes of the group's earlier partitions.
+    Rows are dealt out in ranges of key and order, so a large group spreads over
+    several ranges. A row's number is its number in its range, plus the group's rows
+    in earlier ranges; only a group that crosses a border has any. The ranges come
+    from a sample, so they are written once: a range computed again after a lost
+    executor could have other borders.
     """
-    table = materialize(df, "ranking")
-    sizes = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > large).select(*keys)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    oversize = materialize(sizes, "ranking-keys")
-    groups = oversize.count()
-    if groups == 0:
-        return table.withColumn(rank, F.row_number().over(window))
-    # At most rows / large keys.
-    listed = broadcast_if_small(oversize, groups)
-    small = table.join(listed, keys, "left_anti").withColumn(rank, F.row_number().over(window))
-    return small.unionByName(_rank_by_range(table.join(listed, keys, "left_semi"), keys, order, rank, groups))
-
-
-def _rank_by_range(df: DataFrame, keys: list[str], order: list[Column], rank: str, groups: int) -> DataFrame:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = materialize(
-        df.repartitionByRange(parts, *[F.col(key) for key in keys], *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_place", 33)),
-        "ranking-large",
-    )
-    # One row per group and partition it touches: at most groups + partitions rows.
-    runs = placed.groupBy(*keys, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = runs.select(*keys, "_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    return placed.join(broadcast_if_small(offsets, groups + parts), [*keys, "_part"]).select(
-        *df.columns, (F.col("_place") - F.col("_first") + F.col("_before") + 1).cast("int").alias(rank)
-    )
+    ranged = df.repartitionByRange(*[F.col(key) for key in keys], *order)
+    placed = materialize(ranged.withColumn("_range", F.spark_partition_id()), "ranking")
+    inside = Window.partitionBy("_range", *keys).orderBy(*order)
+    numbered = placed.withColumn("_number", F.row_number().over(inside).cast("bigint"))
+    # One row per group and range, and after the filter one per border at most.
+    runs = placed.groupBy("_range", *keys).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.withColumn("_before", F.sum("_rows").over(earlier)).filter("_before > 0")
+    offsets = offsets.select("_before", *[F.col(c).alias(f"_of_{c}") for c in ("_range", *keys)])
+    same = reduce(Column.__and__, [numbered[c].eqNullSafe(offsets[f"_of_{c}"]) for c in ("_range", *keys)])
+    number = F.col("_number") + F.coalesce(F.col("_before"), F.lit(0))
+    return numbered.join(offsets, same, "left").select(*df.columns, number.cast("bigint").alias(rank))

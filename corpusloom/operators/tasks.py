@@ -69,24 +69,31 @@ def content_problem(http_status: Column, content_type: Column) -> Column:
 
 def operation_problem(op: Column) -> Column:
     """Message for an operation that does not exist, or null."""
-    return F.when(~op.isin(*OPERATIONS), F.concat(F.lit("Unsupported operation: "), op))
+    unknown = ~F.coalesce(op.isin(*OPERATIONS), F.lit(False))
+    return F.when(unknown, F.concat(F.lit("Unsupported operation: "), F.coalesce(op, F.lit(""))))
 
 
-def _user_converter(convert: Callable) -> Callable[[Column], Column]:
-    """A per-document function as an Arrow-batched column; a failure becomes that row's error."""
+def _user_converters(converters: Mapping[str, Callable]) -> Callable[[Column, Column], Column]:
+    """Per-document functions by operation as one Arrow-batched column; a failure becomes that row's error."""
 
-    @F.pandas_udf("output string, error string")
-    def run(bodies: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("output string, data binary, error string")
+    def run(ops: pd.Series, bodies: pd.Series) -> pd.DataFrame:
         rows = []
-        for body in bodies:
-            if body is None:
-                rows.append((None, None))
-                continue
-            try:
-                rows.append((convert(body), None))
-            except Exception as failure:  # any failure of a document stays with its row
-                rows.append((None, str(failure) or type(failure).__name__))
-        return pd.DataFrame(rows, columns=["output", "error"])
+        for op, body in zip(ops, bodies):
+            output = data = error = None
+            if body is not None:
+                try:
+                    made = converters[op](body)
+                    if isinstance(made, (bytes, bytearray)):
+                        data = bytes(made)
+                    elif made is None or isinstance(made, str):
+                        output = made
+                    else:
+                        raise TypeError(f"a converter gave {type(made).__name__}, not text or bytes")
+                except Exception as failure:  # any failure of a document stays with its row
+                    error = str(failure) or type(failure).__name__
+            rows.append((output, data, error))
+        return pd.DataFrame(rows, columns=["output", "data", "error"], dtype=object)
 
     return run
 
@@ -100,42 +107,47 @@ def convert_tasks(
     task whose document is missing or unusable, whose operation is unknown, or
     whose conversion fails becomes an error row. ToHTML and ToText work on landed
     text inside the plan; ``converters`` adds or replaces operations by a function
-    of one document body, and only rows of those operations leave the JVM.
+    of one document body that gives text, or bytes for a further column ``data``.
+
+    Each URL is converted once per operation, however many tasks ask for it, and
+    only outcomes meet the tasks: a body is sent only where it is asked for.
     """
     converters = dict(converters or {})
-    landed = documents.select("url", "http_status", "content_type", "body", F.lit(True).alias("_landed"))
-    joined = tasks.join(landed, "url", "left")
-    unlanded = F.when(F.col("_landed").isNull(), "No landed document")
-    cause = F.coalesce(unlanded, content_problem(F.col("http_status"), F.col("content_type")))
-    checked = joined.withColumn("cause", cause).withColumn(
-        "error",
-        F.coalesce(
-            F.when(F.col("cause").isNotNull(), F.concat(F.lit("Failed to download PDF from URL: "), F.coalesce("url", F.lit("")))),
-            operation_problem(F.col("op")),
-        ),
-    )
-    wanted: Callable[[str], Column] = lambda op: F.col("error").isNull() & (F.col("op") == op)
-    output, failure = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for number, (op, convert) in enumerate(converters.items()):
-        ran = f"_ran{number}"
-        checked = checked.withColumn(ran, _user_converter(convert)(F.when(wanted(op), F.col("body"))))
-        output = F.when(wanted(op), F.col(f"{ran}.output")).otherwise(output)
-        failure = F.when(wanted(op), F.col(f"{ran}.error")).otherwise(failure)
+    asked = tasks.select("url", "op").filter(F.col("url").isNotNull()).distinct()
+    landed = documents.select("url", "http_status", "content_type", "body")
+    cause = content_problem(F.col("http_status"), F.col("content_type"))
+    found = asked.join(landed, "url").withColumn("cause", cause)
+    found = found.withColumn("problem", F.coalesce("cause", operation_problem(F.col("op"))))
+    wanted: Callable[..., Column] = lambda *ops: F.col("problem").isNull() & F.col("op").isin(*ops)
+    output, data, failure = (F.lit(None).cast(kind) for kind in ("string", "binary", "string"))
+    if converters:
+        body = F.when(wanted(*converters), F.col("body"))
+        found = found.withColumn("_ran", _user_converters(converters)(F.col("op"), body))
+        output, data, failure = (F.col(f"_ran.{name}") for name in ("output", "data", "error"))
     for op, convert in BUILT_IN.items():
         if op not in converters:
             output = F.when(wanted(op), convert(F.col("body").cast("string"))).otherwise(output)
-    for op in set(OPERATIONS) - set(BUILT_IN) - set(converters):
+    for op in sorted(set(OPERATIONS) - set(BUILT_IN) - set(converters)):
         failure = F.when(wanted(op), F.lit(f"Failed to convert: no converter for {op}")).otherwise(failure)
-    error = F.coalesce("error", failure)
-    return checked.select(
+    outcomes = found.select(
+        "url", "op", "cause", output.alias("output"), data.alias("data"), failure.alias("failure"), F.lit(True).alias("_landed")
+    ).withColumnsRenamed({"url": "_url", "op": "_op"})
+    same = (F.col("url") == F.col("_url")) & F.col("op").eqNullSafe(F.col("_op"))
+    joined = tasks.join(outcomes, same, "left").withColumn(
+        "cause", F.coalesce(F.when(F.col("_landed").isNull(), "No landed document"), F.col("cause"))
+    )
+    download = F.concat(F.lit("Failed to download PDF from URL: "), F.coalesce("url", F.lit("")))
+    error = F.coalesce(F.when(F.col("cause").isNotNull(), download), operation_problem(F.col("op")), F.col("failure"))
+    return joined.select(
         "app_id",
         "line_no",
         "op",
         "url",
         F.when(error.isNull(), "success").otherwise("error").alias("status"),
-        F.when(error.isNull(), output).alias("output"),
+        F.when(error.isNull(), F.col("output")).alias("output"),
         error.alias("error"),
         "cause",
+        *([F.when(error.isNull(), F.col("data")).alias("data")] if converters else []),
     )
 
 
@@ -154,11 +166,14 @@ def result_lines(results: DataFrame) -> DataFrame:
 
 
 def dedupe_results(results: DataFrame, arrival: str | None = None) -> DataFrame:
-    """One result per (app_id, line_no), the first to arrive where ``arrival`` says."""
-    if arrival is None:
-        return results.dropDuplicates(["app_id", "line_no"])
+    """One result per (app_id, line_no), the first to arrive where ``arrival`` says.
+
+    Among those that arrived together, or where no arrival is known, it is the one
+    whose columns come first in order.
+    """
     rest = [c for c in results.columns if c not in ("app_id", "line_no")]
-    first = F.min_by(F.struct(*rest), F.col(arrival)).alias("first")
+    order = [arrival] if arrival else []
+    first = F.min_by(F.struct(*rest), F.struct(*order, *[c for c in rest if c != arrival])).alias("first")
     return results.groupBy("app_id", "line_no").agg(first).select("app_id", "line_no", "first.*").select(results.columns)
 
 

@@ -1,44 +1,12 @@
-"""Decisions that depend on how much data there is."""
+"""Number of parallel tasks a job asks for."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A table is broadcast only when its row count is known to stay under this.
-BROADCAST_ROWS = 200_000
-
-
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Deal a scan out over all cores when it has fewer splits than cores.
-
-    A large input already has more splits than cores and is returned as it is,
-    so nothing is shuffled at scale.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, *keys)
-
-
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows, reading no more than needed to tell."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, known_rows: int | None = None) -> DataFrame:
-    """Hint a broadcast only behind a row bound.
-
-    ``known_rows`` is a bound the caller can prove (a ``limit``, a one-row
-    aggregate). Without one the table is counted, up to the bound. A larger
-    table is returned unhinted and joins by shuffle.
-    """
-    small = known_rows <= BROADCAST_ROWS if known_rows is not None else has_at_most(df, BROADCAST_ROWS)
-    return F.broadcast(df) if small else df
-
-
 def target_partitions(lines: int, per_worker: int, most: int = 8, as_written: bool = False) -> int:
     """Number of parallel tasks for a job: one per ``per_worker`` lines, at most ``most``.
 

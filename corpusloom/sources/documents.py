@@ -43,11 +43,21 @@ def read_landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFr
     )
 
 
-def documents_by_url(landed: DataFrame) -> DataFrame:
-    """One landed document per URL, the one fetched last."""
+def documents_by_url(landed: DataFrame, urls: DataFrame | None = None) -> DataFrame:
+    """One landed document per URL, the one fetched last; of several, the last in order of its columns.
+
+    ``urls`` (column ``url``) names the documents asked for; others fall out. The time
+    of the last fetch is found without bodies. Documents without a URL drop out.
+    """
+    narrow = landed.select("url", "fetched_at").filter(F.col("url").isNotNull())
+    newest = narrow.groupBy("url").agg(F.max("fetched_at").alias("_last"))
+    if urls is not None:
+        newest = newest.join(urls.select("url").distinct(), "url", "left_semi")
+    newest = newest.withColumnRenamed("url", "_url")
+    same = (F.col("url") == F.col("_url")) & F.col("fetched_at").eqNullSafe(F.col("_last"))
+    last = landed.join(newest, same, "left_semi")
     rest = [c for c in landed.columns if c != "url"]
-    newest = F.max_by(F.struct(*rest), F.col("fetched_at")).alias("doc")
-    return landed.groupBy("url").agg(newest).select("url", "doc.*")
+    return last.groupBy("url").agg(F.max(F.struct(*rest)).alias("doc")).select("url", "doc.*")
 
 
 def write_outputs(results: DataFrame, path: str) -> None:

@@ -2,9 +2,11 @@
 
 import pytest
 
+from corpusloom.functions.reports import url_object_key
 from corpusloom.functions.text import whole_number
-from corpusloom.operators import arcs, association, tasks
+from corpusloom.operators import arcs, association, ngrams, tasks
 from corpusloom.sizing import target_partitions
+from corpusloom.sources.documents import documents_by_url
 
 
 def test_counts_of_any_width(spark):
@@ -37,3 +39,42 @@ def test_feature_beyond_the_size(spark):
 def test_workers_as_written():
     assert target_partitions(1, 10) == 1
     assert target_partitions(1, 10, as_written=True) == 0
+
+
+DOC = "url string, http_status int, content_type string, body string"
+TASK = "app_id string, line_no bigint, op string, url string"
+
+
+def test_converters_of_any_outcome(spark):
+    todo = [("1", 0, "ToImage", "a"), ("1", 1, "ToImage", "a"), ("1", 2, "ToHTML", "a"), ("1", 3, "ToImage", "b")]
+    todo += [("1", 4, "ToText", None), ("1", 5, None, "a"), ("1", 6, "ToText", "a")]
+    docs = [("a", 200, "application/pdf", "x"), ("b", 200, "application/pdf", None)]
+    made = {"ToImage": lambda body: b"\x00\xff", "ToHTML": lambda body: 7}
+    df = tasks.convert_tasks(spark.createDataFrame(todo, TASK), spark.createDataFrame(docs, DOC), made)
+    got = {r.line_no: r for r in df.collect()}
+    assert bytes(got[0].data) == bytes(got[1].data) == b"\x00\xff" and got[0].status == "success"
+    assert (got[2].status, got[2].error) == ("error", "a converter gave int, not text or bytes")
+    assert got[4].status == "error" and got[4].error == "Failed to download PDF from URL: "
+    assert got[5].error == "Unsupported operation: "
+    assert got[6].output == "x" and len(got) == 7
+
+
+def test_object_keys_are_decoded(spark):
+    cases = {"http://x/a%20b": "a b", "http://x/a+b%2Fc?q=1": "a+b/c", "http://x/50%": None, "http://x": "", None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "u string")
+    assert {r.u: r.k for r in df.select("u", url_object_key(df.u).alias("k")).collect()} == cases
+
+
+def test_documents_fetched_at_one_time(spark):
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", None, "n"), (None, 3, "lost"), ("c", 1, "c")]
+    landed = spark.createDataFrame(rows, "url string, fetched_at int, body string")
+    got = {r.url: r.body for r in documents_by_url(landed).collect()}
+    assert got == {"a": "z", "b": "n", "c": "c"}
+    asked = spark.createDataFrame([("a",), ("a",), (None,)], "url string")
+    assert [r.url for r in documents_by_url(landed, asked).collect()] == ["a"]
+
+
+def test_ngrams_of_any_length(spark):
+    docs = spark.createDataFrame([("a b c",), ("",), (None,), ("d",)], "text string")
+    for n, want in ((1, ["a", "b", "c", "d"]), (2, ["a b", "b c"]), (3, ["a b c"]), (4, [])):
+        assert sorted(" ".join(r.gram) for r in ngrams.ngrams(docs, n).collect()) == want

@@ -142,13 +142,18 @@ def test_equal_probabilities_keep_all_rows(spark):
     assert [r.w3 for r in ranked.orderBy("rank").collect()] == ["x", "y", "z"]
 
 
-@pytest.mark.parametrize("large", [10, 100, 10_000])
-def test_large_groups_rank_like_small_ones(spark, large):
+@pytest.mark.parametrize("coalesced", ["true", "false"])
+def test_groups_over_several_ranges_rank_as_a_whole(spark, coalesced):
     rng = random.Random(3)
     data = [("hot", "x", f"w{i:05d}", rng.choice([0.1, 0.2, 0.3])) for i in range(3000)]
     data += [(f"k{i % 40}", "y", f"w{i}", rng.random()) for i in range(500)]
     df = spark.createDataFrame(data, "w1 string, w2 string, w3 string, prob double").repartition(6)
-    got = {(r.w1, r.w2, r.w3): r.rank for r in next_word.rank_continuations(df, large=large).collect()}
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, coalesced)
+    try:
+        got = {(r.w1, r.w2, r.w3): r.rank for r in next_word.rank_continuations(df).collect()}
+    finally:
+        spark.conf.unset(setting)
     want, seen = {}, {}
     for w1, w2, w3, _ in sorted(data, key=lambda t: (t[0], t[1], -t[3], t[2])):
         seen[w1, w2] = seen.get((w1, w2), 0) + 1
