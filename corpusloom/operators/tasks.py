@@ -132,8 +132,12 @@ def convert_tasks(
     outcomes = found.select(
         "url", "op", "cause", output.alias("output"), data.alias("data"), failure.alias("failure"), F.lit(True).alias("_landed")
     ).withColumnsRenamed({"url": "_url", "op": "_op"})
-    same = (F.col("url") == F.col("_url")) & F.col("op").eqNullSafe(F.col("_op"))
-    joined = tasks.join(outcomes, same, "left").withColumn(
+
+    # One key of both columns: it is always shuffled for this join, which may then split a URL many tasks ask for.
+    def key(url: str, op: str) -> Column:
+        return F.struct(F.col(url).alias("url"), F.col(op).alias("op"))
+
+    joined = tasks.join(outcomes, key("url", "op") == key("_url", "_op"), "left").withColumn(
         "cause", F.coalesce(F.when(F.col("_landed").isNull(), "No landed document"), F.col("cause"))
     )
     download = F.concat(F.lit("Failed to download PDF from URL: "), F.coalesce("url", F.lit("")))
