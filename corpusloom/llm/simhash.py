@@ -191,7 +191,12 @@ def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """
     prints = materialize(fingerprints(docs), "prints")
     nodes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "print-nodes")
-    roots = connected_components(close_links(nodes.select("print"), bits))
+    return name_components(prints, nodes, close_links(nodes.select("print"), bits))
+
+
+def name_components(prints: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, print, component_id) of ``prints`` (doc_id, print), from ``nodes`` (print, least) and ``links`` (a, b) of prints."""
+    roots = connected_components(links)
     named = join_apart(nodes, roots.withColumnRenamed("node", "print"), "print", "left")
     named = materialize(named.select("print", "least", F.coalesce("root", "print").alias("root")), "print-roots")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -201,6 +206,11 @@ def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
 
 def one_of_each(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """``docs`` with the row of the smallest doc_id of each component only; rows without a doc_id are all kept."""
-    chosen = near_duplicates(docs, bits).filter("doc_id = component_id").select("doc_id").distinct()
+    return choose(docs, near_duplicates(docs, bits))
+
+
+def choose(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """:func:`one_of_each` by components (doc_id, component_id) that are already found."""
+    chosen = found.filter("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(*docs.columns).union(docs.filter("doc_id IS NULL"))

@@ -1,0 +1,73 @@
+"""The near_duplicates stage against brute-force Jaccard over 5-word shingles."""
+
+import random
+
+import corpus_pipeline
+from corpusloom.llm import near_copies
+
+
+def shingle_set(text):
+    words = (text or "").lower().split()
+    n = min(5, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
+
+
+def brute_roots(rows):
+    """The smallest position reachable over links of 0.8 or more, by position."""
+    sets = [shingle_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    return [find(i) for i in range(len(rows))]
+
+
+def texts():
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(500)]
+    out = ["", " \n", "one two", "One  two", "one three", "a b c d e f g h i", "a b c d e f g h i j"]
+    for size in (9, 30, 60, 120, 400):
+        for _ in range(4):
+            base = [rng.choice(words) for _ in range(size)]
+            out.append(" ".join(base))
+            for edits in range(1, 2 + size // 40):
+                other = list(base)
+                for at in rng.sample(range(size), edits):
+                    other[at] = rng.choice(words)
+                out.append(" ".join(other))
+            out.append(" ".join(base[: -max(1, size // 6)]))
+    # Many edited copies of one text: more candidates under a key than are compared.
+    base = [rng.choice(words) for _ in range(200)]
+    for _ in range(60):
+        other = list(base)
+        for at in rng.sample(range(200), 3):
+            other[at] = rng.choice(words)
+        out.append(" ".join(other))
+    return [(i, t) for i, t in enumerate(out)]
+
+
+def test_stage_meets_brute_force(spark):
+    rows = texts()
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r.component_id for r in near_copies.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(brute_roots(rows)))
+    stage = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in stage.collect()) == sorted(set(brute_roots(rows)))
+    assert stage.columns == docs.columns
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_stage_on_test_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
+    want = {rows[k][0] for k in set(brute_roots(rows))}
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()} == want
