@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from corpusloom.llm.components import connected_components, join_apart
 from corpusloom.workspace import materialize
@@ -189,28 +190,41 @@ def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
     without a doc_id is linked, but its id is never the smallest; a component without
     any id has component_id null. Repeated rows stay. Other columns are not looked at.
     """
+    return _components(docs, bits).drop("root")
+
+
+def _components(docs: DataFrame, bits: int) -> DataFrame:
+    """:func:`near_duplicates` with ``root``, the same for the rows of a component."""
     prints = materialize(fingerprints(docs), "prints")
     nodes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "print-nodes")
     return name_components(prints, nodes, close_links(nodes.select("print"), bits))
 
 
 def name_components(prints: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(doc_id, print, component_id) of ``prints`` (doc_id, print), from ``nodes`` (print, least) and ``links`` (a, b) of prints."""
+    """(doc_id, print, component_id, root) of ``prints`` (doc_id, print), from ``nodes`` (print, least) and ``links`` (a, b) of prints."""
     roots = connected_components(links)
     named = join_apart(nodes, roots.withColumnRenamed("node", "print"), "print", "left")
     named = materialize(named.select("print", "least", F.coalesce("root", "print").alias("root")), "print-roots")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = join_apart(named.select("print", "root"), least, "root").select("print", "component_id")
-    return join_apart(prints, classes, "print").select("doc_id", "print", "component_id")
+    classes = join_apart(named.select("print", "root"), least, "root").select("print", "component_id", "root")
+    return join_apart(prints, classes, "print").select("doc_id", "print", "component_id", "root")
 
 
 def one_of_each(docs: DataFrame, bits: int = BITS) -> DataFrame:
-    """``docs`` with the row of the smallest doc_id of each component only; rows without a doc_id are all kept."""
-    return choose(docs, near_duplicates(docs, bits))
+    """``docs`` with one row of each component only, of its smallest doc_id; rows without a doc_id are all kept."""
+    of_text = F.arrow_udf(lambda texts: pa.array(np.array([fingerprint(t.as_py()) for t in texts], dtype=np.uint64).view(np.int64)), LongType())
+    return choose(docs, _components(docs, bits), of_text)
 
 
-def choose(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """:func:`one_of_each` by components (doc_id, component_id) that are already found."""
-    chosen = found.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+def choose(docs: DataFrame, found: DataFrame, of_text) -> DataFrame:
+    """:func:`one_of_each` by components (doc_id, print, component_id, root) that are already found; ``of_text`` gives a text's print.
+
+    A doc_id may stand in several components and keeps a row in each whose smallest it
+    is. Of several rows with that id the smallest print is kept, then the smallest hash
+    of the text.
+    """
+    chosen = found.filter("doc_id = component_id").groupBy("root").agg(F.first("component_id").alias("doc_id"), F.min("print").alias("_print"))
+    rows = docs.filter("doc_id IS NOT NULL").withColumn("_print", of_text("text"))
+    kept = rows.join(chosen.select("doc_id", "_print"), ["doc_id", "_print"], "left_semi")
+    one = kept.groupBy("doc_id", "_print").agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("row"))
+    return one.select(*[F.col("row")[c].alias(c) for c in docs.columns]).union(docs.filter("doc_id IS NULL"))

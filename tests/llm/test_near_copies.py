@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from corpusloom.llm import near_copies
+from corpusloom.llm import near_copies, simhash
 
 
 def shingle_set(text):
@@ -71,3 +71,13 @@ def test_stage_on_test_documents(spark, sf_dir):
     rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
     want = {rows[k][0] for k in set(brute_roots(rows))}
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()} == want
+
+
+def test_rows_of_one_id(spark):
+    rng = __import__("random").Random(2)
+    one, other = (" ".join(f"{name}{rng.randint(0, 9)}" for _ in range(50)) for name in "ab")
+    for found in (simhash.one_of_each, near_copies.one_of_each):
+        kept = lambda rows: sorted(map(tuple, found(spark.createDataFrame(rows, "doc_id long, text string")).collect()))  # noqa: B023, E731
+        assert kept([(1, one), (1, other)]) == sorted([(1, one), (1, other)])
+        assert kept([(3, one), (7, one), (7, other)]) == [(3, one), (7, other)]
+        assert len(kept([(1, one), (1, one.upper()), (2, one)])) == 1
