@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.fixtures import table
-from corpusloom.llm import decontaminate, html_text, language, line_dedup, pieces, pii, sharding, simhash, token_counts, topk
+from corpusloom.llm import decontaminate, html_text, language, line_dedup, periodic, pieces, pii, sharding, simhash, token_counts, topk
 
 # A key for tests; in use, a secret that never stands in code.
 TEST_KEY = b"test key"
@@ -66,8 +66,41 @@ def op10_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _with_periods(docs):
+    """The documents whose crc32(doc_id) is divisible by 10, their words repeating from some word on; others as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def repeated(w):
+        n, g = F.size(w).cast("long"), F.floor(h / 10)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.transform(w, lambda word, i: F.when(i < a, word).otherwise(F.get(w, (a + (i - a) % p).cast("int"))))
+
+    # An array of one binds the words to a name, so that they are split once and not for every word.
+    text = F.array_join(F.transform(F.array(words), repeated)[0], " ")
+    return docs.select("doc_id", F.when(h % 10 == 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark, sf_dir):
+    found = periodic.find_runs(_with_periods(table(spark, sf_dir, "documents")))
+    found = found.withColumn("top", periodic.longest_run("runs"))
+    start, length, period = (F.col("top")[c] for c in ("start", "length", "period"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(periodic.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_line_dedup, op3_html_text, op4_language, op5_token_counts, op6_shards, op7_topk, op8_decontaminate, op9_pii, op10_simhash,
+    op11_runs,
 )}
 
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -126,5 +159,46 @@ WITH d AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (row_no) LEFT JOIN items USING (row_no)
+""",
+    "op11_runs": """
+WITH d AS (
+    SELECT row_number() OVER () AS row_no, doc_id, string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') AS parts FROM documents
+), cut AS (
+    SELECT row_no, doc_id, [x FOR x IN parts IF x <> ''] AS w, list_reduce(
+        list_prepend(4294967295::BIGINT, flatten([[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(doc_id::VARCHAR, '')])),
+        lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END
+    ) AS crc FROM d
+), hashed AS (
+    SELECT row_no, doc_id, w, len(w) AS n, xor(crc, 4294967295) AS h, xor(crc, 4294967295) // 10 AS g FROM cut
+), placed AS (
+    SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a, CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM hashed
+), words AS (
+    SELECT row_no, n, a, p, unnest(range(n)) AS i, unnest(w) AS word FROM placed
+), texts AS (
+    SELECT row_no, n, i, word FROM words WHERE a IS NULL OR i < a
+    UNION ALL
+    SELECT t.row_no, t.n, t.i, o.word FROM words t JOIN words o ON o.row_no = t.row_no AND o.i = t.a + (t.i - t.a) % t.p WHERE t.i >= t.a
+), grams AS (
+    SELECT row_no, n, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS gram
+    FROM texts WINDOW o AS (PARTITION BY row_no ORDER BY i) QUALIFY i + 5 <= n
+), pairs AS (
+    SELECT x.row_no, x.i, y.i - x.i AS d FROM grams x JOIN grams y ON x.row_no = y.row_no AND x.gram = y.gram AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), chained AS (
+    SELECT *, i - row_number() OVER (PARTITION BY row_no, d ORDER BY i) AS chain FROM pairs
+), stretches AS (
+    SELECT row_no, min(i) AS s, count(*) + 4 + d AS l, d FROM chained GROUP BY row_no, d, chain
+), runs AS (
+    SELECT row_no, s, l, min(d) AS q FROM stretches WHERE l >= greatest(6, 4 * d) GROUP BY row_no, s, l
+), totals AS (
+    SELECT row_no, count(*) AS n_runs, string_agg(concat(s, ',', l, ',', q, chr(10)), '' ORDER BY s, q) AS lines,
+        first(struct_pack(s := s, l := l, q := q) ORDER BY l DESC, s, q) AS top FROM runs GROUP BY row_no
+), gone AS (
+    SELECT DISTINCT row_no, unnest(range(s + q, s + l)) AS i FROM runs
+), kept AS (
+    SELECT t.row_no, string_agg(t.word, ' ' ORDER BY t.i) AS text FROM texts t ANTI JOIN gone g ON t.row_no = g.row_no AND t.i = g.i GROUP BY t.row_no
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.l AS length, top.q AS period, 1000 * top.l // top.q AS exponent_milli,
+    sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM placed LEFT JOIN totals USING (row_no) LEFT JOIN kept USING (row_no)
 """,
 }
