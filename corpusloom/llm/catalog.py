@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.fixtures import table
-from corpusloom.llm import decontaminate, html_text, language, line_dedup, periodic, pieces, pii, sharding, simhash, token_counts, topk
+from corpusloom.llm import decontaminate, html_text, language, line_dedup, mixing, negatives, periodic, pieces, pii, sharding, simhash, token_counts, topk
 
 # A key for tests; in use, a secret that never stands in code.
 TEST_KEY = b"test key"
@@ -98,9 +98,18 @@ def op11_runs(spark, sf_dir):
     )
 
 
+def op12_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(negatives.integer_vectors(table(spark, sf_dir, "embeddings"), label))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_line_dedup, op3_html_text, op4_language, op5_token_counts, op6_shards, op7_topk, op8_decontaminate, op9_pii, op10_simhash,
-    op11_runs,
+    op11_runs, op12_mix, op13_hard_negatives,
 )}
 
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -200,5 +209,57 @@ WITH d AS (
 SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.l AS length, top.q AS period, 1000 * top.l // top.q AS exponent_milli,
     sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
 FROM placed LEFT JOIN totals USING (row_no) LEFT JOIN kept USING (row_no)
+""",
+    "op12_mix": """
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+        ('0x' || substr(md5('mix' || chr(10) || coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')), 1, 15))::BIGINT AS key
+    FROM documents
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS words, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, [2.0, 3.0, 1.0][place % 3 + 1]::DOUBLE AS weight, 2 * words AS bound FROM totals
+), ordered AS (
+    SELECT *, coalesce(sum(bound) OVER before, 0)::DOUBLE AS bound_before, coalesce(sum(weight) OVER before, 0)::DOUBLE AS weight_before,
+        (sum(words) OVER ())::DOUBLE * 1.5::DOUBLE AS wanted, sum(weight) OVER () AS weights, row_number() OVER sorted AS nr
+    FROM weighed WINDOW sorted AS (ORDER BY bound / weight, place),
+        before AS (ORDER BY bound / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+    SELECT wanted - bound_before AS remaining, weights - weight_before AS shares FROM ordered
+    WHERE bound * (weights - weight_before) > weight * (wanted - bound_before) ORDER BY nr LIMIT 1
+), dealt AS (
+    SELECT source, words, coalesce(least(bound::DOUBLE, weight * (SELECT remaining FROM level) / (SELECT shares FROM level)), bound::DOUBLE) AS target FROM ordered
+), budgets AS (
+    SELECT source, words, target, CASE WHEN words > 0 THEN floor(target)::BIGINT // words ELSE 0 END AS whole,
+        CASE WHEN words > 0 THEN floor(target)::BIGINT % words ELSE 0 END AS rest FROM dealt
+), keyed AS (
+    SELECT source, key, sum(size) AS held FROM sized WHERE size > 0 GROUP BY source, key
+), running AS (
+    SELECT *, sum(held) OVER (PARTITION BY source ORDER BY key) - held AS before FROM keyed
+), cut AS (
+    SELECT r.source, r.key, b.rest - r.before AS missing, r.held FROM running r JOIN budgets b ON r.source IS NOT DISTINCT FROM b.source
+    WHERE r.before < b.rest AND b.rest <= r.before + r.held
+)
+SELECT s.doc_id, s.size, b.words AS source_size, b.target, (b.whole * s.size + CASE WHEN s.key < c.key THEN s.size
+    WHEN s.key = c.key THEN s.size * c.missing // c.held ELSE 0 END)::BIGINT AS taken
+FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source LEFT JOIN cut c ON s.source IS NOT DISTINCT FROM c.source
+""",
+    "op13_hard_negatives": """
+WITH v AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT a.id AS anchor_id, c.id AS id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+    FROM v a JOIN v c ON a.id % 50 = 0 AND a.id <> c.id AND len(a.v) = len(c.v)
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM scored WHERE same QUALIFY place <= 5
+), windows AS (
+    SELECT p.anchor_id, p.id AS positive_id, p.place, p.score AS positive_score, n.id AS negative_id, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.place ORDER BY n.score DESC, n.id)::INTEGER AS rank
+    FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+        AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 3
 """,
 }
