@@ -182,7 +182,7 @@ def window(positive: np.ndarray, low: tuple[int, int], high: tuple[int, int]) ->
 
 
 def _matrix(column: pa.ListArray, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), dim)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], answer: Callable) -> Iterator[pa.RecordBatch]:
