@@ -15,9 +15,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.carried import Carried
+
 WORDS = 10
 # Benchmark text broadcast at once; a larger benchmark is scanned in several blocks.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 SLICE = 1 << 19
 
 _CLASS = np.zeros(256, dtype=bool)
@@ -88,25 +90,39 @@ def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode(), dtype=np.uint8)
 
 
-class TestSet:
-    """Windows of a block of items: sorted hashes by window length, and the texts behind each."""
+class TestSet(Carried):
+    """Windows of a block of items, by window length.
+
+    Arrays only: sorted hashes, the place of each window in the words of all items, which
+    are kept once as bytes, and the item. A window costs about 40 bytes and its first word.
+    """
 
     __test__ = False
 
     def __init__(self, items: list[tuple[str | None, str | None]]):
-        found: dict[int, dict[int, dict[bytes, set]]] = {}
-        for item, text in items:
-            words = Words(_bytes(text))
-            n = min(WORDS, len(words.hash))
-            if n:
-                for i, value in enumerate(words.windows(n)):
-                    found.setdefault(n, {}).setdefault(int(value), {}).setdefault(words.text(i, n), set()).add(item)
-        self.by_length = {n: (np.array(sorted(by), dtype=np.uint64), by) for n, by in found.items()}
-        self.coarse = {}
-        for n, (hashes, _) in self.by_length.items():
+        self.items = [item for item, _ in items]
+        words = [Words(_bytes(text)) for _, text in items]
+        # The words of all items in lower case, each followed by a space.
+        self.words = b"".join(w.text(0, len(w.hash)) + b" " for w in words if len(w.hash))
+        lengths = [w.end - w.start + 1 for w in words]
+        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *lengths]))
+        first = np.cumsum([0, *(len(x) for x in lengths)])
+        self.at = ends.astype(np.int64)
+        self.by_length: dict[int, dict[str, np.ndarray]] = {}
+        for n in sorted({min(WORDS, len(w.hash)) for w in words} - {0}):
+            own = [i for i, w in enumerate(words) if min(WORDS, len(w.hash)) == n]
+            hashes = np.concatenate([words[i].windows(n) for i in own])
+            place = np.concatenate([first[i] + np.arange(len(words[i].hash) - n + 1) for i in own])
+            owner = np.concatenate([np.full(len(words[i].hash) - n + 1, i) for i in own])
+            order = np.argsort(hashes, kind="stable")
+            hashes, place, owner = hashes[order], place[order], owner[order]
+            self.by_length[n] = {"hash": hashes, "place": place, "owner": owner}
             flags = np.zeros(1 << 20, dtype=bool)
             flags[hashes >> np.uint64(44)] = True
-            self.coarse[n] = flags
+            self.by_length[n]["coarse"] = flags
+
+    def _text(self, place: int, n: int) -> bytes:
+        return self.words[self.at[place] : self.at[place + n] - 1]
 
     def scan(self, texts: list[str]) -> list[tuple[int, list[int], list[int], set]]:
         """Of each text: number of words, first words and lengths of the verified windows, and the items that they are from."""
@@ -115,17 +131,20 @@ class TestSet:
         bounds = np.cumsum([0, *(len(r) + 1 for r in raw)])
         edge = np.searchsorted(words.start, bounds)
         out = [(int(n), [], [], set()) for n in np.diff(edge)]
-        for n, (hashes, by) in self.by_length.items():
+        for n, known in self.by_length.items():
             windows = words.windows(n)
-            near = np.flatnonzero(self.coarse[n][windows >> np.uint64(44)])
-            at = np.minimum(np.searchsorted(hashes, windows[near]), len(hashes) - 1)
-            near = near[hashes[at] == windows[near]]
+            near = np.flatnonzero(known["coarse"][windows >> np.uint64(44)])
+            low = np.searchsorted(known["hash"], windows[near], side="left")
+            high = np.searchsorted(known["hash"], windows[near], side="right")
+            hit = high > low
+            near, low, high = near[hit], low[hit], high[hit]
             doc = np.searchsorted(edge, near, side="right") - 1
-            for i, d in zip(near.tolist(), doc.tolist(), strict=True):
+            for i, d, a, b in zip(near.tolist(), doc.tolist(), low.tolist(), high.tolist(), strict=True):
                 if i + n > edge[d + 1]:
                     continue  # reaches into the next text
-                owners = by[int(windows[i])].get(words.text(i, n))
-                if owners is not None:
+                text = words.text(i, n)
+                owners = {self.items[known["owner"][k]] for k in range(a, b) if self._text(known["place"][k], n) == text}
+                if owners:
                     _, first, length, items = out[d]
                     first.append(i - int(edge[d]))
                     length.append(n)
@@ -185,45 +204,48 @@ def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[Data
     return [benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
+def _found(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> DataFrame:
+    """(row, text, n_words, first, length, items): each row of ``docs`` as a struct, so that its names meet no others."""
+    spark = docs.sparkSession
+    found = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    for k, block in enumerate(blocks_of(benchmark, block_bytes)):
+        rows = block.select(F.col("item_id").cast("string"), "text").collect()
+        known = spark.sparkContext.broadcast(TestSet([tuple(r) for r in rows]))
+        if k:
+            found = found.select("row", "text", F.struct("n_words", "first", "length", "items").alias("before"))
+        now = ", ".join(f"{c} {kind}" for c, kind in found.dtypes)
+        found = found.mapInArrow(_scanner(known), now + ", n_words long, first array<long>, length array<long>, items array<string>")
+        if k:
+            found = found.select(
+                "row",
+                "text",
+                "n_words",
+                *[F.concat(f"before.{c}", c).alias(c) for c in ("first", "length")],
+                F.array_sort(F.array_union("before.items", "items")).alias("items"),
+            )
+    return found.withColumn("n_hit", covered("first", "length"))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``keep`` columns of ``docs`` with n_words, first and length of the hit windows, n_hit and the sorted item ids.
 
     A window is WORDS consecutive words of an item's text, or all words of an item
     with fewer. A null or empty text has no words; an item without words has no
     window. Items are known by item_id as text; an item without an id hits words but
-    is not listed. Repeated rows of either table are looked at like any other.
+    is not listed. Repeated rows of either table are looked at like any other. Columns
+    in ``keep`` may not have the names of the others; those not kept may.
 
     The hash set is broadcast in blocks of at most about ``block_bytes`` of benchmark
-    text (one item is never divided); with one block, the usual case, documents pass
-    through one scan, and each further block scans what the one before has left.
+    text (one item is never divided), each some ten times that in arrays; with one
+    block, the usual case, documents pass through one scan, and each further block
+    scans what the one before has left.
     """
-    spark = docs.sparkSession
-    keep = list(keep)
-    out = docs.select(*keep, *([] if "text" in keep else ["text"]))
-    kinds = dict(out.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in out.columns)
-    found = out
-    for k, block in enumerate(blocks_of(benchmark, block_bytes)):
-        rows = block.select(F.col("item_id").cast("string"), "text").collect()
-        known = spark.sparkContext.broadcast(TestSet([tuple(r) for r in rows]))
-        if k:
-            carried = found.select(*out.columns, F.struct("n_words", "first", "length", "items").alias("_before"))
-            kinds_now = dict(carried.dtypes)
-            now = schema + f", _before {kinds_now['_before']}"
-        else:
-            carried, now = found, schema
-        scanned = carried.mapInArrow(_scanner(known), now + ", n_words long, first array<long>, length array<long>, items array<string>")
-        if k:
-            scanned = scanned.select(
-                *out.columns,
-                "n_words",
-                *[F.concat(f"_before.{c}", c).alias(c) for c in ("first", "length")],
-                F.array_sort(F.array_union("_before.items", "items")).alias("items"),
-            )
-        found = scanned
-    return found.select(*keep, "n_words", "first", "length", covered("first", "length").alias("n_hit"), "items")
+    named = dict.fromkeys([*keep, "text"])
+    found = _found(docs.select(*named), benchmark, block_bytes)
+    return found.select(*[F.col("row")[c].alias(c) for c in keep], "n_words", "first", "length", "n_hit", "items")
 
 
-def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents in which any benchmark window occurs; columns and other rows stay as they are."""
-    return find_leaks(docs, benchmark, tuple(docs.columns)).filter("n_hit = 0").select(*docs.columns)
+def remove_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the documents in which any benchmark window occurs; columns, of any names, and other rows stay as they are."""
+    found = _found(docs, benchmark, block_bytes).filter("n_hit = 0")
+    return found.select(*[F.col("row")[c].alias(c) for c in docs.columns])

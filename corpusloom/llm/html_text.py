@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.carried import Carried
+
 # Elements of HTML by how they are read.
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -163,7 +165,7 @@ def features(page: list[Block]) -> list[list[str]]:
 
 
 @dataclass
-class Field:
+class Field(Carried):
     """Weights of features by label (rest, main), and of label after label."""
 
     emit: dict[str, tuple[float, float]]

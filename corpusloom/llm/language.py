@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.carried import Carried
+
 ORDER = 3
 UNKNOWN = "und"
 SLICE = 1 << 19
 
 
 @dataclass
-class Trees:
+class Trees(Carried):
     """The trees of all languages, as cost tables by context length.
 
     ``keys[k]`` are the sorted strings of k context bytes and one byte that any

@@ -28,6 +28,8 @@ SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHARD_LINES = 1 << 18
 LEVELS = 24
+# Counts stand in 32 bits.
+MOST_DOCS = (1 << 32) - 1
 INDEX = "shard int, n int, sizes array<int>, bits binary, rest binary, print binary, docs binary, last binary, load long"
 
 
@@ -110,7 +112,7 @@ def _build(table: pa.Table) -> pa.Table:
         "bits": np.packbits(perfect.bits).tobytes(),
         "rest": perfect.rest.tobytes(),
         "print": laid((h2 >> np.uint64(32)).astype(np.uint32)),
-        "docs": laid(np.minimum(table["docs"].to_numpy(), 255).astype(np.uint8)),
+        "docs": laid(np.minimum(table["docs"].to_numpy(), MOST_DOCS).astype(np.uint32)),
         "last": laid(table["last"].fill_null(0).to_numpy().astype(np.int64)),
         "load": int(table["load"].to_numpy().sum()),
     }
@@ -124,7 +126,7 @@ class _Shard:
         rest = np.frombuffer(row["rest"], dtype=[("h1", "<u8"), ("h2", "<u8")])
         self.perfect = PerfectHash(row["sizes"], bits, rest)
         self.print = np.frombuffer(row["print"], np.uint32)
-        self.docs = np.frombuffer(row["docs"], np.uint8)
+        self.docs = np.frombuffer(row["docs"], np.uint32)
         self.last = np.frombuffer(row["last"], np.int64)
 
 
@@ -143,7 +145,7 @@ def _prober(least_docs: int):
                     continue
                 h1, h2 = _unsigned(part.column("h1")), _unsigned(part.column("h2"))
                 at = shard.perfect.places(h1, h2)
-                drop = (at >= 0) & (shard.print[at] == (h2 >> np.uint64(32))) & (shard.docs[at] >= min(least_docs, 255))
+                drop = (at >= 0) & (shard.print[at] == (h2 >> np.uint64(32))) & (shard.docs[at] >= least_docs)
                 ids = part.column("id")
                 own = np.asarray(ids.fill_null(0)) == shard.last[at]
                 drop &= ~(own & np.asarray(ids.is_valid()))

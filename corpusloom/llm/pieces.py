@@ -6,6 +6,13 @@ sums, at each boundary the longest last piece wins. Only the scores of the last
 held from the last boundary through which all surviving paths pass; as soon as they
 meet at a later one, the ids up to there are committed and forgotten.
 
+A boundary that no piece spans is one where all paths meet, whatever the scores. Texts are
+cut there first, and the stretches between such boundaries, seldom longer than a word, are
+searched many at a time in arrays, where the window is the whole stretch: up to four times
+the longest piece. Longer stretches, and those with a character that has no piece, go
+through the streaming search one by one. Both give the ids that the streaming search gives
+over the uncut text.
+
 Text becomes pieces after one space is put in front and every space is written as the
 mark U+2581. A character without a piece is written as its UTF-8 bytes. So is a mark
 that stands in the text itself, which makes decoding exact for every text.
@@ -22,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.carried import Carried
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 # Stand for a mark of the text itself until it is written as bytes, and for a cut; no text holds a lone surrogate.
@@ -31,7 +40,7 @@ MEMO = 60_000
 
 
 @dataclass
-class Vocabulary:
+class Vocabulary(Carried):
     scores: dict[str, float]
     ids: dict[str, int]
     texts: list[bytes]

@@ -3,8 +3,9 @@
 Documents are linked when their texts are equal. All documents of one text that began
 in the same shard form a cell, and cells are what moves: in each round the cells of a
 text go to the shard that holds most of its documents, and shards that this takes
-above their quota send whole texts to shards below theirs. At the end, documents are laid out by their shard and text and the layout is cut into runs of
-equal count, which settles the last few rows and cuts at most one text per boundary.
+above their quota send whole texts to shards below theirs. At the end a document's label
+is its shard. Only the rows that a shard holds above its exact quota leave it, those of
+its rarest texts first, which are whole ones as far as they go, for shards with room.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import join_apart
+from corpusloom.llm.mixing import prefix_sums
 from corpusloom.workspace import materialize
 
 SHARDS = 24
@@ -58,7 +60,7 @@ def _uniform(*what) -> Column:
 
 
 def propagate(cells: DataFrame, shards: int, rounds: int = 8) -> DataFrame:
-    """(text_key, first, shard) of ``cells`` (text_key, first, n) after moving.
+    """(text_key, first, n, shard) of ``cells`` (text_key, first, n) after moving.
 
     In a round every cell goes where its text draws it. Where that takes a shard above
     its quota, texts at rest there, whole ones, are drawn by lot to leave for shards
@@ -91,7 +93,36 @@ def propagate(cells: DataFrame, shards: int, rounds: int = 8) -> DataFrame:
                 home = F.when(lot < upto, F.lit(s)).otherwise(home)
         to = F.when(leaves, home).otherwise(F.col("target")) if any(take) else F.col("target")
         now = materialize(wanted.select("text_key", "first", "n", to.cast("int").alias("shard")), "cells")
-    return now.select("text_key", "first", "shard")
+    return now.select("text_key", "first", "n", "shard")
+
+
+def _listed(values: list[int], at: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), at + 1)
+
+
+def _settled(numbered: DataFrame, load: list[int]) -> DataFrame:
+    """``numbered`` (shard, at, ...) with the final ``shard`` and ``slot``; ``at`` numbers a shard's rows, those to leave first.
+
+    The quotas differ by one at most, the larger ones going to the fullest shards. Rows
+    above a shard's quota are laid out one after the other, shard by shard, over the room
+    that the others have.
+    """
+    shards, (base, longer) = len(load), divmod(sum(load), len(load))
+    fullest = sorted(range(shards), key=lambda s: (-load[s], s))
+    quota = [base + (fullest.index(s) < longer) for s in range(shards)]
+    over, room = [max(0, n - q) for n, q in zip(load, quota, strict=True)], [max(0, q - n) for n, q in zip(load, quota, strict=True)]
+    before = [sum(over[:s]) for s in range(shards)]
+    first = [sum(room[:s]) for s in range(shards)]
+    leaves = F.col("at") < _listed(over, F.col("shard"))
+    place = _listed(before, F.col("shard")) + F.col("at")
+    home = F.lit(shards - 1)
+    for s in reversed(range(shards)):
+        if room[s]:
+            home = F.when(place < first[s] + room[s], F.lit(s)).otherwise(home)
+    out = numbered.withColumns({"leaves": leaves, "place": place, "home": F.when(leaves, home).otherwise(F.col("shard")).cast("int")})
+    arrived = _listed(load, F.col("home")) + F.col("place") - _listed(first, F.col("home"))
+    slot = F.when(F.col("leaves"), arrived).otherwise(F.col("at") - _listed(over, F.col("home")))
+    return out.withColumn("slot", slot).withColumn("shard", F.col("home")).drop("leaves", "place", "home", "at")
 
 
 def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = 8) -> DataFrame:
@@ -99,12 +130,12 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = 8) -> D
 
     The law is ``rows``: the counts of any two shards differ by one at most. size is the
     text's UTF-8 bytes plus 8; a null text has no bytes and the checksum of no bytes, 0.
-    Documents with equal texts share a shard unless together they exceed one or lie on
-    one of the cuts; null texts are linked with each other, and apart from empty ones.
-    slot numbers a shard's rows from 0 without gaps. With fewer rows than shards some
-    shards are empty. Repeated rows and rows without a doc_id are rows like others.
+    Documents with equal texts share a shard unless together they exceed one, or some of
+    them had to fill the last places of another; null texts are linked with each other,
+    and apart from empty ones. slot numbers a shard's rows from 0 without gaps. With fewer
+    rows than shards some shards are empty. Repeated rows and rows without a doc_id are
+    rows like others.
     """
-    spark = docs.sparkSession
     text = F.col("text")
     nodes = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -112,35 +143,18 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = 8) -> D
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.concat_ws(".", F.xxhash64(text), F.xxhash64(F.lit(6), text), F.octet_length(text)).alias("text_key"),
         F.pmod(F.xxhash64(F.lit(7), "doc_id", text), F.lit(shards)).cast("int").alias("first"),
+        F.monotonically_increasing_id().alias("tie"),
     )
     nodes = materialize(nodes, "nodes")
     cells = nodes.groupBy("text_key", "first").agg(F.count(F.lit(1)).alias("n"))
-    labels = propagate(cells, shards, rounds).withColumn("cell", F.concat_ws("/", "text_key", "first")).select("cell", "shard")
-    placed = join_apart(nodes.withColumn("cell", F.concat_ws("/", "text_key", "first")), labels, "cell")
-    order = ["shard", "text_key", "doc_id"]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = placed.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    # Written once: partitions and places must not be dealt again by a second run.
-    laid = laid.select("doc_id", "size", "text_crc32", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("place"))
-    laid = materialize(laid, "layout")
-    counts = {r.part: r.n for r in laid.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per partition
-    before, total = [], 0
-    for part in range(max(counts, default=-1) + 1):
-        before.append(total)
-        total += counts.get(part, 0)
-    base, longer = divmod(total, shards)
-    at = F.element_at(F.array(*[F.lit(x).cast("long") for x in before or [0]]), F.col("part") + 1) + F.col("place")
-    edge = longer * (base + 1)
-    # The first ``longer`` shards hold one row more; without it the division by base is never reached when base is 0.
-    shard = F.when(F.col("at") < edge, F.floor(F.col("at") / F.lit(base + 1))).otherwise(
-        F.lit(longer) + F.floor((F.col("at") - edge) / F.lit(max(base, 1)))
-    )
-    start = F.when(F.col("shard") < longer, F.col("shard") * (base + 1)).otherwise(edge + (F.col("shard") - longer) * base)
-    return (
-        laid.withColumn("at", at)
-        .withColumn("shard", shard.cast("int"))
-        .select(
-            "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
-            (F.col("at") - start).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-        )
-    )
+    moved = propagate(cells, shards, rounds)
+    here = moved.groupBy("text_key", "shard").agg(F.sum("n").alias("n_here"))
+    cell = F.concat_ws("/", "text_key", "first").alias("cell")
+    labels = moved.join(here, ["text_key", "shard"]).select(cell, "shard", "n_here")
+    placed = join_apart(nodes.select("*", cell), labels, "cell")
+    load = {r.shard: r.n for r in moved.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # a row per shard
+    rows = placed.select("doc_id", "size", "text_crc32", "shard", "n_here", "text_key", "tie", F.lit(1).cast("long").alias("one"))
+    numbered = prefix_sums(rows, ["shard"], ["n_here", "text_key", "tie"], ["one"]).withColumnRenamed("one_before", "at")
+    done = _settled(numbered, [load.get(s, 0) for s in range(shards)])
+    nothing = F.lit(None).cast("int").alias("grown_shard")
+    return done.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), nothing)

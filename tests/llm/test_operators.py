@@ -418,6 +418,17 @@ def test_small_vocabulary():
         assert pieces.decode(v.texts, np.frombuffer(raw, "<i4")) == text
 
 
+def test_stretches_and_whole_texts_give_the_same_ids(vocabulary, spark, sf_dir):
+    """Cutting at certain boundaries and searching in arrays changes no id of the streaming search over a whole text."""
+    own = [t or "" for _, t in texts() if len(t or "") < 6_000]
+    own += [r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id < 40").select("text").collect()]
+    encoder = pieces.Encoder(vocabulary)
+    for text, raw in zip(own, encoder.encode(own), strict=True):
+        marked = pieces.MARK + text.replace(pieces.MARK, pieces.OWN).replace(" ", pieces.MARK)
+        ids = [i for part in encoder.viterbi(marked) for i in part] if text else []
+        assert np.frombuffer(raw, "<i4").tolist() == ids
+
+
 def test_round_trip(docs, empty):
     got = Counter((r.doc_id, r.decoded) for r in pieces.round_trip(docs).collect())
     assert got == Counter((i, t or "") for i, t in texts())
