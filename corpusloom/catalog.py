@@ -25,8 +25,9 @@ from corpusloom.sources.corpus import (
     read_vocabulary,
     select_input_files,
 )
-from corpusloom.sources.documents import documents_by_url, parse_tasks, write_ordered_text, write_outputs
-from corpusloom.streaming import jobs
+from corpusloom.sources.documents import documents_by_url, newest_landed_files, parse_tasks, read_tasks, write_ordered_text, write_outputs
+from corpusloom.sources.sequence import read_sequence_lines, write_sequence_lines
+from corpusloom.streaming import completion, jobs
 from corpusloom.workspace import materialize, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +110,15 @@ def ngram_files(spark, sf_dir):
     return good.groupBy("w1", "w2", "w3").agg(F.sum("cnt").alias("cnt"), F.max("year").alias("last_year"))
 
 
+@query
+def ngram_sequence(spark, sf_dir):
+    """The n-gram lines as sequence files, read back in splits smaller than a file."""
+    path = new_path(spark, "ngram-sequence")
+    write_sequence_lines(fx.ngram_lines(spark, sf_dir), path)
+    good = ngrams.accepted_ngrams(read_sequence_lines(spark, path, 1 << 20))
+    return good.groupBy("w1", "w2", "w3").agg(F.sum("cnt").alias("cnt"), F.max("year").alias("last_year"))
+
+
 @query
 def ngram_tables(spark, sf_dir):
     """Trigram rows of every source as parquet, read back."""
@@ -188,14 +198,11 @@ def top_next_5(spark, sf_dir):
 
 @query
 def ranked_text(spark, sf_dir):
-    """The ranked text file, written and read back."""
+    """The ranked text file, written and read back line by line in its order."""
     scored = _rounded(next_word.scored_trigrams(fx.trigram_rows(spark, sf_dir)), "prob")
     path = new_path(spark, "ranked-text")
     matrices.write_ranked_text(scored, path)
-    parts = F.split("value", "\t")
-    return spark.read.text(path).select(
-        F.get(parts, F.lit(0)).alias("trigram"), F.get(parts, F.lit(1)).cast("double").alias("prob")
-    )
+    return matrices.read_ranked_text(spark, path)
 
 
 @query
@@ -314,6 +321,15 @@ def global_counts(spark, sf_dir):
     return arcs.global_counts(_statistics(spark, sf_dir)[1])
 
 
+@query
+def count_rejects(spark, sf_dir):
+    """Counts beyond 64 bits, in a corpus whose lines have counts up to that."""
+    trigrams, lines = _arc_lines(spark, sf_dir)
+    large = F.when(F.size("toks") == 3, F.least("cnt", F.lit(922)) * fx.LARGE).otherwise(F.col("cnt"))
+    stats = arcs.arc_statistics(arcs.with_arcs(lines.withColumn("cnt", large)), fx.vocabulary(trigrams))
+    return arcs.count_rejects(stats)
+
+
 @query
 def top_features(spark, sf_dir):
     return arcs.top_features(arcs.feature_counts(_statistics(spark, sf_dir)[1]))
@@ -404,16 +420,10 @@ def pair_similarity_24(spark, sf_dir):
 
 @query
 def similarity_text(spark, sf_dir):
-    """The feature matrix written as text and read back."""
+    """The feature matrix written as text and read back line by line in its order."""
     path = new_path(spark, "similarity")
     matrices.write_similarity(_similarity(spark, sf_dir), path, "text")
-    parts = F.split("value", "\t")
-    numbers = F.split(F.get(parts, F.lit(1)), " ")
-    return spark.read.text(path).select(
-        F.get(parts, F.lit(0)).alias("pair"),
-        *[F.round(F.get(numbers, F.lit(i)).cast("double"), 6).alias(f) for i, f in enumerate(similarity.FEATURES)],
-        F.get(parts, F.lit(2)).alias("relatedness"),
-    )
+    return _rounded(matrices.read_similarity_text(spark, path), *similarity.FEATURES)
 
 
 @query
@@ -447,13 +457,13 @@ def stemmed_pair_similarity(spark, sf_dir):
 
 def _tasks(spark, sf_dir):
     pages = fx.table(spark, sf_dir, "pages")
-    return parse_tasks(fx.task_lines(pages)), documents_by_url(fx.landed_documents(pages))
+    return parse_tasks(fx.task_lines(pages), "line_no"), documents_by_url(fx.landed_documents(pages))
 
 
 def _asked(spark, sf_dir):
     """Tasks and the documents they ask for."""
     pages = fx.table(spark, sf_dir, "pages")
-    todo = parse_tasks(fx.task_lines(pages))
+    todo = parse_tasks(fx.task_lines(pages), "line_no")
     return todo, documents_by_url(fx.landed_documents(pages), todo)
 
 
@@ -510,6 +520,23 @@ def convert_results(spark, sf_dir):
     return _results(spark, sf_dir)
 
 
+@query
+def job_parts(spark, sf_dir):
+    """Results by job, and the parts in which they come."""
+    results = tasks.convert_tasks(*_asked(spark, sf_dir), per_worker=10)
+    sums = results.groupBy("app_id").agg(F.countDistinct("part").alias("parts"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "success").alias("n_success"))
+    return sums
+
+
+@query
+def landed_newest(spark, sf_dir):
+    """Pages landed as files, some twice; the newest file of every page, read where it is given out."""
+    path = new_path(spark, "landed")
+    fx.write_landed_files(fx.table(spark, sf_dir, "pages"), path)
+    docs = newest_landed_files(spark, path, fx.PAGE_OF_FILE)
+    return docs.select(F.col("url").cast("bigint").alias("page_id"), F.md5("body").alias("digest"), F.octet_length("body").cast("bigint").alias("size"))
+
+
 @query
 def convert_by_user(spark, sf_dir):
     """ToImage by a function that gives bytes and fails on some documents."""
@@ -570,7 +597,8 @@ def status_summary(spark, sf_dir):
 
 @query
 def url_object_keys(spark, sf_dir):
-    return fx.table(spark, sf_dir, "pages").select("page_id", url_object_key(F.col("url")).alias("object_key"))
+    pages = fx.escaped_urls(fx.table(spark, sf_dir, "pages"))
+    return pages.select("page_id", url_object_key(F.col("url")).alias("object_key"))
 
 
 @query
@@ -597,15 +625,69 @@ def _event_stream(spark, sf_dir):
 
 @query
 def stream_completion(spark, sf_dir):
-    """Completion found by the stream: deliveries first, announcements in the same stream."""
+    """Completion found by the stream, some jobs announced only after all their results came in; drained in two runs."""
     told = fx.announced_jobs(fx.table(spark, sf_dir, "events"))
-    landed = new_path(spark, "announced")
-    told.write.parquet(landed)
-    announced = jobs.read_stream(spark, landed, told.schema)
-    done = jobs.track_completion(fx.deliveries(_event_stream(spark, sf_dir)), announced)
-    path = new_path(spark, "completed")
-    jobs.write_completions(done, path, new_path(spark, "completed-state")).awaitTermination()
-    return spark.read.schema("app_id string, expected bigint, received bigint").parquet(f"{path}/*")
+    landed, path, state = (new_path(spark, name) for name in ("announced", "completed", "completed-state"))
+    late = F.col("app_id").cast("bigint") % 2 == 0
+    told.filter(~late).write.parquet(landed)
+
+    def start():
+        announced = jobs.read_stream(spark, landed, told.schema)
+        return completion.follow_jobs(fx.deliveries(_event_stream(spark, sf_dir)), announced, path, state)
+
+    completion.settle(spark, path, start)
+    told.filter(late).write.mode("append").parquet(landed)
+    completion.settle(spark, path, start)
+    return completion.completed_jobs(spark, path)
+
+
+@query
+def stream_summaries(spark, sf_dir):
+    """Task files that arrive one by one are converted and summed up when a job is complete; both streams stop half-way.
+
+    The last runs find nothing new and add nothing.
+    """
+    pages = fx.table(spark, sf_dir, "pages")
+    landed = materialize(documents_by_url(fx.landed_documents(pages)), "documents")
+    lines = materialize(fx.task_lines(pages), "task-lines")
+    arriving, path, tasks_state, jobs_state = (new_path(spark, name) for name in ("task-files", "summaries", "tasks-state", "jobs-state"))
+
+    def run():
+        arrived = jobs.read_task_stream(spark, arriving, 1, fx.JOB_OF_FOLDER)
+        jobs.convert_task_files(arrived, landed, path, tasks_state).awaitTermination()
+        completion.settle(spark, f"{path}/jobs", lambda: jobs.summarise_jobs(spark, path, jobs_state))
+
+    fx.write_task_files(lines.filter("app_id IN ('1', '2')"), arriving)
+    run()
+    fx.write_task_files(lines.filter("app_id NOT IN ('1', '2')"), arriving)
+    run()
+    run()
+    return jobs.read_summaries(spark, path)
+
+
+@query
+def task_files(spark, sf_dir):
+    """Task lists as files, one per job, read back by line number."""
+    path = new_path(spark, "task-lists")
+    fx.write_task_files(fx.task_lines(fx.table(spark, sf_dir, "pages")), path)
+    return read_tasks(spark, path, fx.JOB_OF_FOLDER)
+
+
+@query
+def stream_deduped_horizon(spark, sf_dir):
+    """Each line once within the horizon: what is delivered again after its state was given up counts again.
+
+    The deliveries arrive in slices of ten days, one run each.
+    """
+    sent = materialize(fx.timed_deliveries(fx.table(spark, sf_dir, "events")), "timed-deliveries")
+    arriving, path, state = (new_path(spark, name) for name in ("slices", "deduped", "deduped-state"))
+    for start, end in fx.slices(sent):
+        sent.filter((F.col("at") >= start) & (F.col("at") < end)).write.mode("append").parquet(arriving)
+        stream = jobs.dedupe_stream(jobs.read_stream(spark, arriving, sent.schema), "at", fx.HORIZON).select("app_id", "line_no")
+        sink = stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", state)
+        sink.trigger(availableNow=True).start().awaitTermination()
+    kept = spark.read.schema("app_id string, line_no bigint").parquet(path)
+    return kept.groupBy("app_id", "line_no").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query

@@ -5,12 +5,16 @@ Each has a twin in ``oracle.py``. Nothing here is part of an operator.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ngrams import frequent_words, sliding_trigrams, trigram_counts, word_counts
 
 VOCABULARY_COUNT = 100
+# Counts up to 922 times this stay within 64 bits, their sums do not.
+LARGE = 10**16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -157,6 +161,36 @@ def task_lines(pages: DataFrame) -> DataFrame:
     )
 
 
+# The job of a task list written by write_task_files.
+JOB_OF_FOLDER = "/app_id=([^/]+)/"
+
+
+def write_task_files(lines: DataFrame, path: str) -> None:
+    """Task lists as text, a folder with one file per job, its lines in order."""
+    dealt = lines.repartition("app_id").sortWithinPartitions("app_id", "line_no")
+    dealt.select("app_id", "value").write.mode("append").partitionBy("app_id").text(path)
+
+
+def escaped_urls(pages: DataFrame) -> DataFrame:
+    """(page_id, url): paths of every third page begin with escapes, of every seventh other page with a broken one."""
+    page = F.col("page_id")
+    host = "^([a-z]+://[^/]+/)"
+    good, bad = F.regexp_replace("url", host, "$1%41%20b+c%2F"), F.regexp_replace("url", host, "$1%zz")
+    return pages.select("page_id", F.when(page % 3 == 0, good).when(page % 7 == 0, bad).otherwise(F.col("url")).alias("url"))
+
+
+PAGE_OF_FILE = "/page_id=([0-9]+)/"
+
+
+def write_landed_files(pages: DataFrame, path: str) -> None:
+    """A file per page and fetch: of every second page an old one, of all but every fifth a new one, written later."""
+    page = F.col("page_id")
+    old = pages.filter((page % 2 == 0) | (page % 5 == 0)).select(page, F.concat(F.lit("old "), "html").alias("value"))
+    new = pages.filter(page % 5 != 0).select(page, F.col("html").alias("value"))
+    for fetch, rows in enumerate((old, new)):
+        rows.repartition("page_id").write.partitionBy("page_id").text(f"{path}/fetch={fetch}")
+
+
 def landed_documents(pages: DataFrame) -> DataFrame:
     """(url, fetched_at, http_status, content_type, body), some URLs fetched twice.
 
@@ -208,6 +242,26 @@ def deliveries(events: DataFrame) -> DataFrame:
     return first.unionByName(again)
 
 
+HORIZON = "2 days"
+# Far enough for the state of the first delivery to be gone when the second comes.
+AGAIN_DAYS = 15
+
+
+def timed_deliveries(events: DataFrame) -> DataFrame:
+    """(app_id, line_no, at): every event, some an hour later again, some of them days later."""
+    first = events.select(F.col("user_id").cast("string").alias("app_id"), F.col("event_id").alias("line_no"), F.col("ts").cast("timestamp").alias("at"))
+    soon = first.filter("line_no % 20 = 0").withColumn("at", F.col("at") + F.expr("INTERVAL 1 HOUR"))
+    late = first.filter("line_no % 33 = 0").withColumn("at", F.col("at") + F.expr(f"INTERVAL {AGAIN_DAYS} DAYS"))
+    return first.unionByName(soon).unionByName(late)
+
+
+def slices(deliveries: DataFrame, days: int = 10) -> list:
+    """(start, end) of ten days each, over all deliveries."""
+    first, last = deliveries.agg(F.min("at"), F.max("at")).first()
+    step = timedelta(days=days)
+    return [(first + i * step, first + (i + 1) * step) for i in range((last - first) // step + 1)]
+
+
 def announced_jobs(events: DataFrame) -> DataFrame:
     """(app_id, expected): every job with an id not divisible by 3 is known."""
     counts = events.filter("user_id % 3 <> 0").groupBy(F.col("user_id").cast("string").alias("app_id"))

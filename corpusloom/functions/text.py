@@ -44,3 +44,17 @@ COUNT = f"[+-]?{_up_to(str(2**63 - 1))}"
 def whole_number(text: Column) -> Column:
     """A count as bigint, or null where the text is none."""
     return F.when(text.rlike(f"^{COUNT}$"), text.try_cast("bigint"))
+
+
+# Sums of counts and products of counts: no corpus fills 38 digits.
+WIDE = "decimal(38,0)"
+
+
+def wide(count: Column) -> Column:
+    """A count for sums that may pass 64 bits."""
+    return count.cast(WIDE)
+
+
+def narrow(total: Column) -> Column:
+    """A wide sum as bigint, or null where it does not fit."""
+    return total.try_cast("bigint")

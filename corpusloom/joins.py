@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+
+def _key(columns: list[Column]) -> Column:
+    """The columns as one value; null where one of them is."""
+    whole = reduce(Column.__and__, [c.isNotNull() for c in columns])
+    return F.when(whole, F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)]))
 
 
-def lookup_join(rows: DataFrame, table: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
+def lookup_join(rows: DataFrame, table: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join ``rows`` to ``table``, which has one row per key; ``how`` keeps the left side's meaning.
 
-    The rows of a key are dealt over ``salts`` parts and the table is repeated once
-    per part. The part being a join key, both sides are shuffled for this join, so
-    adaptive execution may split a part further, or send round a table that it
-    measured to be small. ``table`` should be the smaller side.
+    The columns are joined as one value. No earlier shuffle has that value for its key,
+    so both sides are always shuffled for this join alone, and adaptive execution may
+    split the rows of a frequent key by the tasks that wrote them, whatever the rows
+    hold, or send round a table that it measured to be small. The table is not copied:
+    each part of a split key reads the key's one row.
     """
-    part = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_part", part).join(copies, [*on, "_part"], how).drop("_part")
+    named = {c: f"_of_{c}" for c in on}
+    other = table.withColumnsRenamed(named)
+    same = _key([F.col(c) for c in on]) == _key([F.col(c) for c in named.values()])
+    return rows.join(other, same, how).drop(*named.values())

@@ -8,11 +8,12 @@ a token to its head; its feature is the head word joined to the arc's label.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import COUNT, fields, spaced, whole_number
+from corpusloom.functions.text import COUNT, WIDE, fields, narrow, spaced, whole_number, wide
 from corpusloom.joins import lookup_join
 
 SKIP, TAKE = 100, 1000
@@ -111,18 +112,19 @@ def arc_statistics(arc_lines: DataFrame, vocabulary: DataFrame) -> DataFrame:
     has one row per feature plus one per vocabulary pair. The line totals ride on
     each line's first arc; a line without arcs adds a row without a feature.
     Arcs are summed by word and feature before they meet the vocabulary, and the
-    tables below are folded from this result.
+    tables below are folded from this result. The sums are wide: a line's count times
+    its tokens may pass 64 bits, and so may what many lines add up to.
     """
     word = F.col(vocabulary.columns[0])
     listed = vocabulary.select(word.alias("word")).distinct().withColumn("lexeme", F.col("word"))
     per_line = arc_lines.select(
-        "cnt",
-        ((F.col("n_toks") - 1) * F.col("cnt")).alias("l_line"),
-        (F.size(distinct_features(F.col("arcs"))) * F.col("cnt")).alias("f_line"),
+        wide(F.col("cnt")).alias("cnt"),
+        ((F.col("n_toks") - 1).cast("decimal(12,0)") * F.col("cnt").cast("decimal(20,0)")).cast(WIDE).alias("l_line"),
+        (F.size(distinct_features(F.col("arcs"))).cast("decimal(12,0)") * F.col("cnt").cast("decimal(20,0)")).cast(WIDE).alias("f_line"),
         F.posexplode_outer("arcs").alias("at", "arc"),
     )
     first = F.coalesce(F.col("at"), F.lit(0)) == 0
-    zero = F.lit(0).cast("bigint")
+    zero = wide(F.lit(0))
     rows = per_line.select(
         F.col("arc.lexeme").alias("word"),
         make_feature(F.col("arc.head"), F.col("arc.dep")).alias("feature"),
@@ -135,23 +137,40 @@ def arc_statistics(arc_lines: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return lookup_join(by_word, listed, ["word"], "left").groupBy("lexeme", "feature").agg(*sums)
 
 
+def _wide_pairs(stats: DataFrame) -> DataFrame:
+    return stats.filter(F.col("lexeme").isNotNull()).select("lexeme", "feature", "cnt")
+
+
+def _wide_lexemes(stats: DataFrame) -> DataFrame:
+    return _wide_pairs(stats).groupBy("lexeme").agg(F.sum("cnt").alias("cnt"))
+
+
+def _wide_features(stats: DataFrame) -> DataFrame:
+    return stats.filter(F.col("feature").isNotNull()).groupBy("feature").agg(F.sum("cnt").alias("cnt"))
+
+
+def _narrowed(counts: DataFrame) -> DataFrame:
+    """Rows whose count fits a bigint; the others are listed by :func:`count_rejects`."""
+    return counts.withColumn("cnt", narrow(F.col("cnt"))).filter(F.col("cnt").isNotNull())
+
+
 def pair_counts(stats: DataFrame) -> DataFrame:
     """(lexeme, feature, cnt) for vocabulary lexemes."""
-    return stats.filter(F.col("lexeme").isNotNull()).select("lexeme", "feature", "cnt")
+    return _narrowed(_wide_pairs(stats))
 
 
 def lexeme_counts(stats: DataFrame) -> DataFrame:
     """(lexeme, cnt) for vocabulary lexemes that occur in an arc."""
-    return pair_counts(stats).groupBy("lexeme").agg(F.sum("cnt").alias("cnt"))
+    return _narrowed(_wide_lexemes(stats))
 
 
 def feature_counts(stats: DataFrame) -> DataFrame:
     """(feature, cnt) over all arcs, whether or not the lexeme is in the vocabulary."""
-    return stats.filter(F.col("feature").isNotNull()).groupBy("feature").agg(F.sum("cnt").alias("cnt"))
+    return _narrowed(_wide_features(stats))
 
 
-def global_counts(stats: DataFrame) -> DataFrame:
-    """One row (l_star, f_star).
+def wide_totals(stats: DataFrame) -> DataFrame:
+    """One row (l_star, f_star) of any width.
 
     l_star adds each line's token count less one, malformed tokens included;
     f_star adds its number of different features. Both are weighted by the count.
@@ -159,6 +178,28 @@ def global_counts(stats: DataFrame) -> DataFrame:
     return stats.agg(F.sum("l_part").alias("l_star"), F.sum("f_part").alias("f_star"))
 
 
+def global_counts(stats: DataFrame) -> DataFrame:
+    """:func:`wide_totals` as bigint, null where one does not fit."""
+    return wide_totals(stats).select(narrow(F.col("l_star")).alias("l_star"), narrow(F.col("f_star")).alias("f_star"))
+
+
+def count_rejects(stats: DataFrame) -> DataFrame:
+    """(kind, lexeme, feature, total): counts of pairs, lexemes and features, and corpus totals, that no bigint holds.
+
+    They stand in none of the count tables. ``total`` is their decimal text.
+    """
+    none = F.lit(None).cast("string")
+    totals = wide_totals(stats)
+    tables = [
+        _wide_pairs(stats).select(F.lit("pair").alias("kind"), "lexeme", "feature", "cnt"),
+        _wide_lexemes(stats).select(F.lit("lexeme").alias("kind"), "lexeme", none.alias("feature"), "cnt"),
+        _wide_features(stats).select(F.lit("feature").alias("kind"), none.alias("lexeme"), "feature", "cnt"),
+        *[totals.select(F.lit(name).alias("kind"), none.alias("lexeme"), none.alias("feature"), F.col(name).alias("cnt")) for name in totals.columns],
+    ]
+    beyond = reduce(DataFrame.unionByName, tables).filter(F.col("cnt").isNotNull() & narrow(F.col("cnt")).isNull())
+    return beyond.select("kind", "lexeme", "feature", F.col("cnt").cast("string").alias("total"))
+
+
 def top_features(counts: DataFrame, skip: int = SKIP, take: int = TAKE) -> DataFrame:
     """(feature, cnt, feature_idx): ranks skip..skip+take-1 by count, ties by feature.
 

@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import COUNT, fields, tokens, whole_number, words
+from corpusloom.functions.text import COUNT, fields, narrow, tokens, whole_number, wide, words
 from corpusloom.joins import lookup_join
 
 WORDS = ("w1", "w2", "w3")
@@ -163,8 +163,8 @@ def fold_unigrams(bi: DataFrame) -> DataFrame:
 
 
 def corpus_total(ngrams: DataFrame) -> DataFrame:
-    """One row, c0 = three times the sum of all counts."""
-    return ngrams.agg((3 * F.sum("cnt")).alias("c0"))
+    """One row, c0 = three times the sum of all counts, null where that passes 64 bits."""
+    return ngrams.agg(narrow(3 * F.sum(wide(F.col("cnt")))).alias("c0"))
 
 
 def ngram_roles(ngrams: DataFrame) -> DataFrame:
@@ -221,14 +221,20 @@ def pair_contexts(tri: DataFrame) -> DataFrame:
 
 
 def assemble_params(tri: DataFrame) -> DataFrame:
-    """Every trigram with its parameters n1, n2, n3, c0, c1, c2.
+    """Every trigram with its parameters n1, n2, n3, c0, c1, c2; c0 is null where it passes 64 bits."""
+    return wide_params(tri).withColumn("c0", narrow(F.col("c0")))
+
+
+def wide_params(tri: DataFrame) -> DataFrame:
+    """:func:`assemble_params` with a c0 of any width.
 
     The join on the context (w1, w2) comes before the other, so that a later
     ranking by context shuffles again: each task then cuts its part of a large
     context first, and the skewed join itself stays open to splitting.
     """
     contexts = pair_contexts(tri)
-    total = fold_unigrams(bigram_counts(tri)).agg(F.expr("3 * (sum(word_cnt) div 2)").alias("c0"))
+    # Every trigram is counted at two words.
+    total = fold_unigrams(bigram_counts(tri)).agg((3 * F.sum(wide(F.col("word_cnt"))) / 2).cast("decimal(38,0)").alias("c0"))
     after = contexts.toDF("w2", "w3", "n2", "n1")
     before = contexts.toDF("w1", "w2", "c2", "c1")
     return (

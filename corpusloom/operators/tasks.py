@@ -18,6 +18,7 @@ from corpusloom.functions.reports import (
     to_text,
 )
 from corpusloom.functions.text import fields
+from corpusloom.joins import lookup_join
 from corpusloom.operators.ranking import rank_in_group
 from corpusloom.sizing import target_partitions_column
 
@@ -56,6 +57,14 @@ def parallelism_per_app(tasks: DataFrame, per_worker: Column | int, most: int =
     return tasks_per_app(tasks).withColumn("workers", workers)
 
 
+def deal_tasks(tasks: DataFrame, per_worker: Column | int, most: int = 8) -> DataFrame:
+    """``tasks`` with ``part``, from 0: each job's tasks dealt over as many parts as it calls for, by a hash of the line number."""
+    workers = parallelism_per_app(tasks, per_worker, most).select("app_id", "workers")
+    dealt = lookup_join(tasks, workers, ["app_id"], "left")
+    part = F.pmod(F.xxhash64("line_no"), F.coalesce("workers", F.lit(1)))
+    return dealt.select(*tasks.columns, part.cast("int").alias("part"))
+
+
 def content_problem(http_status: Column, content_type: Column) -> Column:
     """Why landed content cannot be used, or null."""
     return F.when(
@@ -99,7 +108,7 @@ def _user_converters(converters: Mapping[str, Callable]) -> Callable[[Column, Co
 
 
 def convert_tasks(
-    tasks: DataFrame, documents: DataFrame, converters: Mapping[str, Callable] | None = None
+    tasks: DataFrame, documents: DataFrame, converters: Mapping[str, Callable] | None = None, per_worker: int | None = None
 ) -> DataFrame:
     """(app_id, line_no, op, url, status, output, error, cause) with one row per task.
 
@@ -111,8 +120,13 @@ def convert_tasks(
 
     Each URL is converted once per operation, however many tasks ask for it, and
     only outcomes meet the tasks: a body is sent only where it is asked for.
+
+    With ``per_worker`` the tasks are dealt by :func:`deal_tasks`, and the rows carry
+    their ``part``: a job's results come in as many parts as it calls for.
     """
     converters = dict(converters or {})
+    if per_worker is not None:
+        tasks = deal_tasks(tasks, per_worker)
     asked = tasks.select("url", "op").filter(F.col("url").isNotNull()).distinct()
     landed = documents.select("url", "http_status", "content_type", "body")
     cause = content_problem(F.col("http_status"), F.col("content_type"))
@@ -152,6 +166,7 @@ def convert_tasks(
         error.alias("error"),
         "cause",
         *([F.when(error.isNull(), F.col("data")).alias("data")] if converters else []),
+        *(["part"] if per_worker is not None else []),
     )
 
 

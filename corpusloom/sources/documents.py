@@ -2,23 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import fields
-from corpusloom.sources.corpus import read_numbered_lines
+from corpusloom.sources.corpus import read_ordered_lines
+from corpusloom.sources.files import located
+
+# Executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Files whose content a task holds together.
+FILES_AT_ONCE = 16
+
+# The name of a file without its ending.
+JOB_OF_FILE = r"([^/]+?)(\.[^./]*)?$"
+
 
-def parse_tasks(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Lines `op, url` of a job as (app_id, line_no, op, url)."""
+def parse_tasks(lines: DataFrame, *places: str, line: str = "value") -> DataFrame:
+    """Lines `op, url` of a job as (app_id, *places, op, url); ``places`` are the columns that place a line."""
     f = fields(F.col(line))
-    return lines.select("app_id", "line_no", F.get(f, F.lit(0)).alias("op"), F.get(f, F.lit(1)).alias("url"))
+    return lines.select("app_id", *places, F.get(f, F.lit(0)).alias("op"), F.get(f, F.lit(1)).alias("url"))
 
 
-def read_tasks(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Task files, one job per file; the job id is the file name without its ending."""
-    lines = read_numbered_lines(spark, path)
-    app = F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1)
-    return parse_tasks(lines.select(app.alias("app_id"), "line_no", "value"))
+def read_tasks(spark: SparkSession, path: str | list[str], job: str = JOB_OF_FILE) -> DataFrame:
+    """Task files as (app_id, line_no, op, url); ``job`` is a pattern whose group is the job's id in a file's path.
+
+    The files of a job are one text, its lines numbered from 0.
+    """
+    lines = read_ordered_lines(spark, path, job)
+    return parse_tasks(lines.select(F.col("of").alias("app_id"), F.col("place").alias("line_no"), "value"), "line_no")
 
 
 def read_landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -33,16 +51,50 @@ def read_landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFr
         .option("recursiveFileLookup", "true")
         .load(path)
     )
-    kind = F.when(F.lower("path").endswith(".pdf"), "application/pdf").otherwise("application/octet-stream")
     return files.select(
         F.regexp_replace("path", "^[a-z]+:/+", "/").alias("url"),
         F.col("modificationTime").alias("fetched_at"),
         F.lit(200).alias("http_status"),
-        kind.alias("content_type"),
+        _kind(F.col("path")).alias("content_type"),
         F.col("content").alias("body"),
     )
 
 
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files by path with their content as ``body``, a few at a time."""
+    for batch in batches:
+        for low in range(0, len(batch), FILES_AT_ONCE):
+            part = batch.slice(low, FILES_AT_ONCE)
+            bodies = []
+            for path in part.column("path").to_pylist():
+                system, place = located(path)
+                with system.open_input_stream(place) as file:
+                    bodies.append(file.read())
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bodies, pa.binary())], [*part.schema.names, "body"])
+
+
+def newest_landed_files(spark: SparkSession, path: str, url: str, urls: DataFrame | None = None, glob: str = "*") -> DataFrame:
+    """The file last changed of each URL as (url, fetched_at, http_status, content_type, body).
+
+    ``url`` is a pattern whose group, in a file's path, stands for the URL. Files are
+    ranked by names and times alone, of equal times the last by name counts, and
+    ``urls`` (column ``url``) names those asked for. Only the files that are left are
+    opened, in the task that gives out their row: no content is shuffled.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    named = files.select(F.regexp_extract("path", url, 1).alias("url"), F.col("modificationTime").alias("fetched_at"), "path")
+    newest = named.filter("url <> ''").groupBy("url").agg(F.max(F.struct("fetched_at", "path")).alias("last"))
+    if urls is not None:
+        newest = newest.join(urls.select("url").distinct(), "url", "left_semi")
+    chosen = newest.select("url", "last.fetched_at", "last.path")
+    read = chosen.mapInArrow(_bodies, "url string, fetched_at timestamp, path string, body binary")
+    return read.select("url", "fetched_at", F.lit(200).alias("http_status"), _kind(F.col("path")).alias("content_type"), "body")
+
+
+def _kind(path: Column) -> Column:
+    return F.when(F.lower(path).endswith(".pdf"), "application/pdf").otherwise("application/octet-stream")
+
+
 def documents_by_url(landed: DataFrame, urls: DataFrame | None = None) -> DataFrame:
     """One landed document per URL, the one fetched last; of several, the last in order of its columns.
 

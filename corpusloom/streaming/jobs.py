@@ -1,18 +1,22 @@
-"""Document jobs as streams: arriving tasks and results, completion, summaries.
+"""Document jobs as streams: arriving tasks, conversion, summaries, and results delivered more than once.
 
-Delivery is at least once and in any order. Results are deduplicated by
-(app_id, line_no), a job may be announced after its first results, and both
-facts live in state, so the order of arrival does not matter.
+Delivery is at least once and in any order. What tells a finished job stands in
+``completion``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from corpusloom.sources.documents import write_summary
+from corpusloom.operators.tasks import convert_tasks, result_lines, tasks_per_app
+from corpusloom.sources.corpus import line_places, number_lines, read_ordered_lines
+from corpusloom.sources.documents import JOB_OF_FILE, parse_tasks, write_summary
+from corpusloom.streaming.completion import follow_jobs
 
 
 def read_stream(
@@ -27,90 +31,66 @@ def read_stream(
     return reader.load(path)
 
 
-def read_task_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Task lines (app_id, op, url) from text files arriving in a folder, one job per file."""
-    lines = read_stream(spark, path, "value string", "text", max_files=max_files)
-    app = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.[^./]*)?$", 1)
-    parts = F.split("value", "\t")
-    return lines.select(app.alias("app_id"), F.get(parts, F.lit(0)).alias("op"), F.get(parts, F.lit(1)).alias("url"))
+def read_task_stream(spark: SparkSession, path: str, max_files: int | None = None, job: str = JOB_OF_FILE) -> DataFrame:
+    """Task lines (app_id, op, url, file, split) from text files arriving in a folder, one job per file.
 
+    ``job`` is a pattern whose group is the job's id in the file's path. ``file`` and
+    ``split`` place a line for :func:`~corpusloom.sources.corpus.number_lines`.
+    """
+    lines = read_stream(spark, path, "value string", "text", max_files=max_files).select("value", *line_places())
+    return parse_tasks(lines.withColumn("app_id", F.regexp_extract("file", job, 1)), "file", "split")
 
-def dedupe_stream(results: DataFrame, event_time: str | None = None, horizon: str = "1 hour") -> DataFrame:
-    """Each (app_id, line_no) once.
 
-    Without ``event_time`` every key is remembered. With it, a key is forgotten
-    ``horizon`` after the watermark, which bounds the state where redelivery is
-    known to stop within that time.
+def convert_task_files(
+    tasks: DataFrame, documents: DataFrame, path: str, checkpoint: str, converters: Mapping[str, Callable] | None = None
+) -> StreamingQuery:
+    """Convert the task files that a stream of :func:`read_task_stream` brings, then stop when drained.
+
+    Every micro-batch writes the result lines of its jobs to ``path``/lines, by job, and
+    (app_id, expected) to ``path``/announced, under its number: a repeated one replaces
+    what it wrote.
     """
-    keys = ["app_id", "line_no"]
-    if event_time is None:
-        return results.dropDuplicates(keys)
-    return results.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(keys)
 
+    def step(batch: DataFrame, number: int) -> None:
+        todo = number_lines(batch)
+        lines = result_lines(convert_tasks(todo, documents, converters))
+        lines.select("app_id", "line_no", "line").write.mode("overwrite").partitionBy("app_id").parquet(f"{path}/lines/batch={number}")
+        tasks_per_app(todo).write.mode("overwrite").parquet(f"{path}/announced/batch={number}")
 
-def track_completion(results: DataFrame, announced: DataFrame) -> DataFrame:
-    """Stream of (app_id, expected, received), a job once, when its last result is in.
+    return tasks.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    ``results`` is a stream of (app_id, line_no), ``announced`` a stream of
-    (app_id, expected). Both feed one running aggregate. It updates a job only
-    when a new line or the announcement arrives, and so passes the point where
-    the counts meet once. Counting is pre-aggregated before the shuffle: a job
-    with most of the results costs no more than any other. State holds the key of
-    each line and one row per job.
-    """
-    zero = F.lit(0).cast("bigint")
-    got = results.select("app_id", F.col("line_no").cast("bigint").alias("line_no"), zero.alias("expected"))
-    # Announcements share the deduplication under a line number no task has.
-    told = announced.select("app_id", F.lit(-1).cast("bigint").alias("line_no"), F.col("expected").cast("bigint"))
-    events = got.unionByName(told).dropDuplicates(["app_id", "line_no"])
-    counts = events.groupBy("app_id").agg(
-        F.max("expected").alias("expected"),
-        F.sum(F.when(F.col("line_no") >= 0, F.lit(1)).otherwise(zero)).alias("received"),
-    )
-    return counts.filter((F.col("expected") > 0) & (F.col("expected") == F.col("received")))
-
-
-def write_completions(completed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Drain the stream into ``path``, one folder per micro-batch, then stop.
-
-    A repeated micro-batch replaces its own folder, so a restart adds nothing.
+
+def summarise_jobs(spark: SparkSession, path: str, checkpoint: str, max_files: int | None = None) -> StreamingQuery:
+    """Follow the lines and announcements under ``path`` and write a job's summary to ``path``/summaries when it is complete.
+
+    Of the lines only the folders of the jobs that completed are read, and a line that
+    was delivered again stands once.
     """
+    lines = read_stream(spark, f"{path}/lines", "line_no bigint, app_id string", max_files=max_files)
+    told = read_stream(spark, f"{path}/announced", "app_id string, expected bigint")
 
-    def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    def save(done: DataFrame, number: int) -> None:
+        stored = spark.read.schema("line_no bigint, line string, app_id string").parquet(f"{path}/lines")
+        own = stored.join(done.select("app_id"), "app_id", "left_semi").dropDuplicates(["app_id", "line_no"])
+        write_summary(own, f"{path}/summaries/batch={number}", mode="overwrite")
 
-    return (
-        completed.writeStream.outputMode("update")
-        .foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return follow_jobs(lines, told.select("app_id", "expected"), f"{path}/jobs", checkpoint, save)
 
 
-def write_summaries(completed: DataFrame, lines_path: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the summary of each job as it completes, then stop when drained.
+def read_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """(app_id, position, line): the summaries under ``path`` in the order in which they stand, from 1."""
+    lines = read_ordered_lines(spark, f"{path}/summaries", "/app_id=([^/]+)/")
+    return lines.select(F.col("of").alias("app_id"), (F.col("place") + 1).alias("position"), F.col("value").alias("line"))
 
-    Completed jobs go to ``path``/completed, their summaries to ``path``/summaries.
-    ``lines_path`` holds the result lines (line_no, line) partitioned by app_id;
-    only the folders of the jobs that completed are read.
-    """
 
-    def save(batch: DataFrame, number: int) -> None:
-        # The micro-batch is run once and whole, to commit its state; the join
-        # below may read only a part of it.
-        spark = batch.sparkSession
-        jobs = f"{path}/completed/batch={number}"
-        batch.select("app_id").write.mode("overwrite").parquet(jobs)
-        done = spark.read.schema("app_id string").parquet(jobs).distinct()
-        lines = spark.read.schema("line_no bigint, line string, app_id string").parquet(lines_path)
-        lines = lines.join(done, "app_id", "left_semi").dropDuplicates(["app_id", "line_no"])
-        write_summary(lines, f"{path}/summaries/batch={number}", mode="overwrite")
-
-    return (
-        completed.writeStream.outputMode("update")
-        .foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def dedupe_stream(results: DataFrame, event_time: str | None = None, horizon: str = "1 hour") -> DataFrame:
+    """Each (app_id, line_no) once.
+
+    Without ``event_time`` every key is remembered. With it, a key is forgotten
+    ``horizon`` after the watermark, which bounds the state where redelivery is
+    known to stop within that time.
+    """
+    keys = ["app_id", "line_no"]
+    if event_time is None:
+        return results.dropDuplicates(keys)
+    return results.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(keys)

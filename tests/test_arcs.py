@@ -1,13 +1,10 @@
 import math
 import random
-import subprocess
-import sys
 
 import pytest
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from corpusloom.functions.stemming import porter, stem_column, stem_word, stem_words
+from corpusloom.functions.stemming import stem_word
 from corpusloom.functions.vectors import MEASURES, aligned, array_measures
 from corpusloom.operators import arcs, association, similarity
 from corpusloom.plans.similarity import gold_similarity
@@ -193,31 +190,3 @@ def test_dense_and_sparse_agree(spark, rows):
 
 
 # Words and stems of the paper's examples, and of the two rules that differ.
-STEMS = """caresses caress, ponies poni, ties ti, cats cat, feed feed, agreed agre, disabled disabl, matting mat,
-mating mate, meetings meet, relational relat, conditional condit, rational ration, digitizer digit, vietnamization
-vietnam, operator oper, hopefulness hope, callousness callous, sensibiliti sensibl, triplicate triplic, formalize
-formal, electrical electr, goodness good, revival reviv, allowance allow, replacement replac, adoption adopt,
-homologous homolog, bowdlerize bowdler, probate probat, rate rate, cease ceas, roll roll, happy
-happi, sky sky, is is, as as, conformabli conform, analogi analog"""
-
-
-def test_stems(spark):
-    for pair in STEMS.replace("\n", " ").split(","):
-        word, stem = pair.split()
-        assert porter(word) == stem, word
-    assert porter("RUNNING") == "RUNNING" and porter("Running") == "Run"
-    df = spark.createDataFrame([("cats",), (None,), ("cats",)], "w string")
-    assert sorted(map(str, (r.s for r in stem_column(df, "w", "s").collect()))) == ["None", "cat", "cat"]
-    lists = spark.createDataFrame([(["cats", None, "is"],)], "w array<string>")
-    assert lists.select(stem_words("w").alias("s")).first().s == ["cat", None, "is"]
-
-
-def test_stemmer_needs_no_package_on_the_executors(tmp_path):
-    stored = tmp_path / "udf"
-    stored.write_bytes(cloudpickle.dumps((stem_word.func, stem_words.func)))
-    code = (
-        "import pandas as pd, pickle, sys; one, many = pickle.load(open(sys.argv[1], 'rb'));"
-        "print(list(one(pd.Series(['cats', 'ponies']))), list(many(pd.Series([['meetings', None]]))))"
-    )
-    done = subprocess.run([sys.executable, "-c", code, str(stored)], cwd=tmp_path, capture_output=True, text=True, check=True)
-    assert done.stdout.strip() == "['cat', 'poni'] [['meet', None]]"

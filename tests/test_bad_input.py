@@ -5,6 +5,7 @@ import pytest
 from corpusloom.functions.reports import url_object_key
 from corpusloom.functions.text import whole_number
 from corpusloom.operators import arcs, association, ngrams, tasks
+from corpusloom.plans import next_word
 from corpusloom.sizing import target_partitions
 from corpusloom.sources.documents import documents_by_url
 
@@ -78,3 +79,33 @@ def test_ngrams_of_any_length(spark):
     docs = spark.createDataFrame([("a b c",), ("",), (None,), ("d",)], "text string")
     for n, want in ((1, ["a", "b", "c", "d"]), (2, ["a b", "b c"]), (3, ["a b c"]), (4, [])):
         assert sorted(" ".join(r.gram) for r in ngrams.ngrams(docs, n).collect()) == want
+
+
+NINE = 9 * 10**17
+
+
+def test_totals_beyond_64_bits(spark):
+    """A legal line of 21 tokens and a count of 9e17 makes a total that no bigint holds."""
+    tokens = " ".join(f"t{i}/X/n/{i + 2}" for i in range(20)) + " t20/X/ROOT/0"
+    lines = spark.createDataFrame([(f"h\t{tokens}\t{NINE}",), (f"h\ta/X/n/2 b/X/R/0\t{2**63 - 1}",), (f"h\ta/X/n/2 b/X/R/0\t{2**63 - 1}",), ("h\tc/X/n/2 d/X/R/0\t5",)], "value string")
+    stats = arcs.arc_statistics(arcs.with_arcs(arcs.accepted_arc_lines(lines)), spark.createDataFrame([("a",), ("c",), ("t0",)], "w string"))
+    l_star, f_star = 20 * NINE + 2 * (2**63 - 1) + 5, 20 * NINE + 2 * (2**63 - 1) + 5
+    assert tuple(map(int, arcs.wide_totals(stats).first())) == (l_star, f_star)
+    assert tuple(arcs.global_counts(stats).first()) == (None, None)
+    assert {(r.lexeme, r.feature): r.cnt for r in arcs.pair_counts(stats).collect()} == {("c", "d-n"): 5, ("t0", "t1-n"): NINE}
+    assert "b-n" not in {r.feature for r in arcs.feature_counts(stats).collect()}
+    twice = str(2 * (2**63 - 1))
+    want = {("pair", "a", "b-n", twice), ("lexeme", "a", None, twice), ("feature", None, "b-n", twice), ("l_star", None, None, str(l_star)), ("f_star", None, None, str(f_star))}
+    assert {tuple(r) for r in arcs.count_rejects(stats).collect()} == want
+    measures = association.assoc_from_statistics(stats, skip=0).collect()
+    assert {r.lexeme for r in measures} == {"c", "t0"} and all(r.pmi is not None for r in measures)
+
+
+def test_corpus_total_beyond_64_bits(spark):
+    rows = [("a", "b", f"w{i}", NINE) for i in range(4)]
+    grams = spark.createDataFrame(rows, "w1 string, w2 string, w3 string, cnt bigint")
+    assert ngrams.corpus_total(grams).first().c0 is None
+    assert ngrams.corpus_total(grams.limit(2)).first().c0 == 6 * NINE
+    scored = next_word.next_word_prob(grams).collect()
+    assert len(scored) == 4 and all(r.c0 is None and 0 < r.prob < 1 for r in scored)
+    assert ngrams.assemble_params(grams).filter("c0 IS NULL AND n1 = c2 / 4").count() == 4

@@ -1,5 +1,3 @@
-import random
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +5,6 @@ from corpusloom.functions.reports import report_class, report_line, to_html, to_
 from corpusloom.operators import tasks
 from corpusloom.sizing import target_partitions
 from corpusloom.sources import corpus, documents, matrices
-from corpusloom.streaming import jobs
 
 DOCS = "url string, http_status int, content_type string, body string"
 TASKS = "app_id string, line_no bigint, op string, url string"
@@ -171,69 +168,28 @@ def test_ranked_text_and_vectors(spark, tmp_path, rows):
     matrices.write_ranked_text(scored, str(tmp_path / "ranked"))
     text = "".join(p.read_text() for p in sorted((tmp_path / "ranked").glob("part-*")))
     assert text == "a b x\t0.75\na b y\t0.5\nb c x\t0.25\n"
+    got = matrices.read_ranked_text(spark, str(tmp_path / "ranked")).orderBy("place").collect()
+    assert [tuple(r) for r in got] == [(0, "a b x", 0.75), (1, "a b y", 0.5), (2, "b c x", 0.25)]
     vectors = spark.createDataFrame([("w,1", 5, [0.0, 1.5, -2.0])], "lexeme string, eq int, vector array<double>")
     for fmt in ("text", "parquet"):
         matrices.write_vectors(vectors, str(tmp_path / fmt), fmt)
         assert [tuple(r) for r in matrices.read_vectors(spark, str(tmp_path / fmt), fmt).collect()] == [("w,1", 5, [0.0, 1.5, -2.0])]
 
 
-def drain(query):
-    query.awaitTermination(120)
-    assert query.exception() is None
-
-
-def test_stream_finds_completion_in_any_order(spark, tmp_path, rows):
-    rng = random.Random(1)
-    sizes = {f"j{i}": i + 1 for i in range(8)}
-    deliveries = [(job, line) for job, n in sizes.items() for line in range(n)]
-    deliveries += rng.sample(deliveries, 12)
-    deliveries.remove(("j7", 7)) if deliveries.count(("j7", 7)) == 1 else [deliveries.remove(("j7", 7)) for _ in range(2)]
-    rng.shuffle(deliveries)
-    told = [(job, n) for job, n in sizes.items() if job != "j3"] + [("j1", 2)]
-    for i in range(4):
-        part = deliveries[i::4]
-        spark.createDataFrame(part, "app_id string, line_no bigint").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    spark.createDataFrame(told[:3], "app_id string, expected bigint").coalesce(1).write.parquet(str(tmp_path / "told"))
-
-    def run():
-        arrived = jobs.read_stream(spark, str(tmp_path / "in"), "app_id string, line_no bigint", max_files=1)
-        announced = jobs.read_stream(spark, str(tmp_path / "told"), "app_id string, expected bigint")
-        done = jobs.track_completion(arrived, announced)
-        drain(jobs.write_completions(done, str(tmp_path / "out"), str(tmp_path / "state")))
-
-    run()
-    # The other jobs are announced only after all their results came in.
-    spark.createDataFrame(told[3:], "app_id string, expected bigint").coalesce(1).write.mode("append").parquet(str(tmp_path / "told"))
-    run()
-    got = rows(spark.read.schema("app_id string, expected bigint, received bigint").parquet(str(tmp_path / "out" / "*")))
-    assert got == [(job, n, n) for job, n in sorted(sizes.items()) if job not in ("j3", "j7")]
-
-
-def test_stream_writes_summaries(spark, tmp_path):
-    lines = [("a", i, f"a{i}") for i in range(5)] + [("b", 0, "b0")]
-    frame = spark.createDataFrame(lines, "app_id string, line_no bigint, line string")
-    frame.write.partitionBy("app_id").parquet(str(tmp_path / "lines"))
-    frame.select("app_id", "line_no").write.parquet(str(tmp_path / "in"))
-    spark.createDataFrame([("a", 5), ("b", 2)], "app_id string, expected bigint").write.parquet(str(tmp_path / "told"))
-    done = jobs.track_completion(
-        jobs.read_stream(spark, str(tmp_path / "in"), "app_id string, line_no bigint"),
-        jobs.read_stream(spark, str(tmp_path / "told"), "app_id string, expected bigint"),
-    )
-    drain(jobs.write_summaries(done, str(tmp_path / "lines"), str(tmp_path / "out"), str(tmp_path / "state")))
-    text = "".join(p.read_text() for p in sorted((tmp_path / "out" / "summaries").glob("batch=*/app_id=a/part-*")))
-    assert text.split() == ["a0", "a1", "a2", "a3", "a4"] and not list((tmp_path / "out").glob("summaries/*/app_id=b"))
-
-
-def test_task_stream_and_bounded_dedupe(spark, tmp_path, rows):
-    (tmp_path / "tasks").mkdir()
-    (tmp_path / "tasks" / "j1.txt").write_text("ToText\thttp://x/a\nToHTML\thttp://x/b\n")
-    stream = jobs.read_task_stream(spark, str(tmp_path / "tasks"))
-    sink = stream.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c"))
-    drain(sink.trigger(availableNow=True).start())
-    assert rows(spark.read.parquet(str(tmp_path / "o"))) == [("j1", "ToHTML", "http://x/b"), ("j1", "ToText", "http://x/a")]
-
-    spark.sql("select '1' app_id, cast(id % 3 as bigint) line_no, timestamp'2024-01-01' + make_interval(0,0,0,0,0,0,id) at from range(9)").write.parquet(str(tmp_path / "r"))
-    results = jobs.read_stream(spark, str(tmp_path / "r"), "app_id string, line_no bigint, at timestamp")
-    sink = jobs.dedupe_stream(results, "at").writeStream.format("parquet").option("path", str(tmp_path / "d"))
-    drain(sink.option("checkpointLocation", str(tmp_path / "dc")).trigger(availableNow=True).start())
-    assert spark.read.parquet(str(tmp_path / "d")).count() == 3
+def test_lines_in_the_order_of_files(spark, tmp_path):
+    """Parts come by number and lines by place, also where a file is read in many splits; texts are told apart by folder."""
+    want = {}
+    for text, parts in (("a", {9: 400, 10: 3, 100000: 250, 2: 0}), ("b", {0: 5})):
+        (tmp_path / f"of={text}").mkdir()
+        want[text] = [f"{text}-{part}-{i}" for part in sorted(parts) for i in range(parts[part])]
+        for part, n in parts.items():
+            (tmp_path / f"of={text}" / f"part-{part:05d}-x.txt").write_text("".join(f"{text}-{part}-{i}\n" for i in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = corpus.read_ordered_lines(spark, str(tmp_path), "/of=([^/]+)/").collect()
+        whole = corpus.read_ordered_lines(spark, str(tmp_path / "of=a")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {(r.of, r.place): r.value for r in got} == {(t, i): v for t, lines in want.items() for i, v in enumerate(lines)}
+    assert [r.value for r in sorted(whole, key=lambda r: r.place)] == want["a"]

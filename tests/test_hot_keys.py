@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.joins import lookup_join
 from corpusloom.operators import arcs, ngrams, tasks
 
 SETTINGS = {
@@ -32,8 +33,9 @@ def hot(spark, rows=20_000):
 
 
 def parts_of_hot(joined, word):
-    """How many tasks hold the rows of the hot key after the join."""
-    return joined.filter(F.col(word) == "hot").select(F.spark_partition_id().alias("p")).distinct().count()
+    """How many tasks hold the rows of the hot key after the join, all columns read."""
+    rows = joined.withColumn("_part", F.spark_partition_id())
+    return len({r._part for r in rows.collect() if r[word] == "hot"})
 
 
 def test_vocabulary(spark, lowered):
@@ -69,3 +71,22 @@ def test_one_url(spark, lowered):
     assert tally == {"success": 30_000, "error": 30_000}
     done.collect()
     assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_equal_in_all_columns(spark, lowered):
+    rows = spark.range(600_000).select(F.lit("hot").alias("lexeme"), F.lit(1).alias("cnt"))
+    listed = spark.createDataFrame([("hot", 7), ("cold", 8), (None, 9)], "lexeme string, n int")
+    joined = lookup_join(rows, listed, ["lexeme"])
+    assert joined.columns == ["lexeme", "cnt", "n"]
+    assert joined.agg(F.sum("n")).first()[0] == 7 * 600_000
+    assert parts_of_hot(joined, "lexeme") > 2
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan  # no copies of the table
+
+
+def test_null_keys_never_meet(spark):
+    rows = spark.createDataFrame([("a", None, 1), (None, None, 2), ("a", "b", 3)], "x string, y string, n int")
+    table = spark.createDataFrame([("a", "b", "z"), (None, None, "nothing"), ("a", None, "half")], "x string, y string, v string")
+    got = lambda how: sorted((r.n, r.asDict().get("v")) for r in lookup_join(rows, table, ["x", "y"], how).collect())
+    assert got("inner") == [(3, "z")] and got("left") == [(1, None), (2, None), (3, "z")]
+    assert got("left_anti") == [(1, None), (2, None)] and got("left_semi") == [(3, None)]
