@@ -625,7 +625,7 @@ def _event_stream(spark, sf_dir):
 
 @query
 def stream_completion(spark, sf_dir):
-    """Completion found by the stream, some jobs announced only after all their results came in; drained in two runs."""
+    """Completion found by the stream, half of the jobs announced only in a second run, after all their results came in."""
     told = fx.announced_jobs(fx.table(spark, sf_dir, "events"))
     landed, path, state = (new_path(spark, name) for name in ("announced", "completed", "completed-state"))
     late = F.col("app_id").cast("bigint") % 2 == 0
@@ -635,9 +635,9 @@ def stream_completion(spark, sf_dir):
         announced = jobs.read_stream(spark, landed, told.schema)
         return completion.follow_jobs(fx.deliveries(_event_stream(spark, sf_dir)), announced, path, state)
 
-    completion.settle(spark, path, start)
+    start().awaitTermination()
     told.filter(late).write.mode("append").parquet(landed)
-    completion.settle(spark, path, start)
+    start().awaitTermination()
     return completion.completed_jobs(spark, path)
 
 

@@ -1,7 +1,7 @@
 """Completion of jobs from a stream of results, with state that ends with the job.
 
-State is kept per job and bucket of line numbers: one bit per line that came in, so a
-bucket has a fixed size and a job of any length spreads over many. Each micro-batch gives
+State is kept per job and bucket of line numbers, at most one bit for each line there can
+be in it, so its size is bounded and a job of any length spreads over many. Each micro-batch gives
 the number of new lines per bucket. They are added to a small table of open buckets,
 written once per micro-batch under its number; a job whose lines reach the announced
 number moves to the completed jobs. Its buckets are written to a folder that the stream
@@ -25,33 +25,48 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 # Executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Lines per state row: a bitmap of this many bits.
-BUCKET_BITS = 12
+# A state row holds the numbers of up to 2 to this many lines.
+BUCKET_BITS = 16
 BUCKET_LINES = 1 << BUCKET_BITS
+# Of fewer lines their numbers are kept, of more one bit for every line there can be.
+SPARSE = BUCKET_LINES // 16
 
 OPEN = "app_id string, bucket bigint, received bigint, expected bigint"
 COMPLETED = "app_id string, expected bigint, received bigint"
 RETIRED = "app_id string, bucket bigint"
 
 
+def _packed(lines: np.ndarray) -> bytes:
+    """Sorted line numbers of a bucket as bytes, at most one bit for each that there can be."""
+    if len(lines) < SPARSE:
+        return lines.astype("<u2").tobytes()
+    bits = np.zeros(BUCKET_LINES, bool)
+    bits[lines] = True
+    return np.packbits(bits).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    if len(data) < 2 * SPARSE:
+        return np.frombuffer(data, "<u2").astype(np.int64)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8)))
+
+
 def _count_new(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """The number of lines of one bucket that were not there before."""
-    seen = np.zeros(BUCKET_LINES, bool)
-    if state.exists:
-        seen = np.unpackbits(np.frombuffer(state.get[0], np.uint8)).astype(bool)
-    before, over = int(seen.sum()), False
+    before = _unpacked(state.get[0]) if state.exists else np.zeros(0, np.int64)
+    seen, over = before, False
     for part in parts:
         lines = part["line_no"].dropna().to_numpy(np.int64)
-        seen[lines - key[1] * BUCKET_LINES] = True
+        seen = np.union1d(seen, lines - key[1] * BUCKET_LINES)
         over = over or len(lines) < len(part)
     # A row without a line number says that the job is over; what came with it came too late.
     if over:
         if state.exists:
             state.remove()
         return
-    if seen.sum() > before:
-        state.update((np.packbits(seen).tobytes(),))
-        yield pd.DataFrame({"app_id": [key[0]], "bucket": [key[1]], "received": [int(seen.sum()) - before]})
+    if len(seen) > len(before):
+        state.update((_packed(seen),))
+        yield pd.DataFrame({"app_id": [key[0]], "bucket": [key[1]], "received": [len(seen) - len(before)]})
 
 
 def new_lines(results: DataFrame, retired: DataFrame | None = None) -> DataFrame:

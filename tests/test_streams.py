@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from corpusloom.streaming import completion, jobs
@@ -79,16 +80,24 @@ def test_more_lines_than_announced_in_one_batch(spark, tmp_path):
 
 
 def test_a_job_over_many_buckets(spark, tmp_path):
-    n = 3 * completion.BUCKET_LINES + 5
+    n = 2 * completion.BUCKET_LINES + 5
     stream = Jobs(spark, tmp_path)
-    stream.send([("big", i) for i in range(n - 1)] + [("big", 3)] * 50, [("big", n)])
+    spark.range(n - 1).selectExpr("'big' AS app_id", "id AS line_no").write.mode("append").parquet(f"{stream.root}/in")
+    stream.send([("big", 3)] * 50, [("big", n)])
     query = stream.run()
-    assert not stream.completed() and stream.state_rows(query) == 4
-    stream.send([("big", n - 1)], [])
+    assert not stream.completed() and stream.state_rows(query) == 3
+    stream.send([("big", n - 1), ("big", 7)], [])
     query = stream.run()
     assert stream.completed() == [("big", n, n)] and stream.state_rows(query) == 0
 
 
+@pytest.mark.parametrize("n", [0, 1, completion.SPARSE - 1, completion.SPARSE, completion.BUCKET_LINES])
+def test_line_numbers_are_packed(n):
+    lines = np.sort(np.random.default_rng(n).choice(completion.BUCKET_LINES, n, replace=False))
+    data = completion._packed(lines)
+    assert completion._unpacked(data).tolist() == lines.tolist() and len(data) <= completion.BUCKET_LINES // 8
+
+
 def test_a_repeated_batch_adds_nothing(spark, tmp_path):
     """A micro-batch that failed after its tables were written is run again and replaces them."""
     stream = Jobs(spark, tmp_path)
