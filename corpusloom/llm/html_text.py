@@ -29,7 +29,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BOXES = frozenset("article aside body details dialog div fieldset footer form header main menu nav ol search section table ul".split())
 ENDS_PARAGRAPH = BLOCKS - {"body", "html", "head", "button", "option", "optgroup"}
 
-TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>""")
+# A quote opens a string only where a value begins.
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+)>""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -73,7 +74,7 @@ def blocks(html: str | None) -> list[Block]:
     def flush(context: tuple[str, ...]) -> None:
         nonlocal linked
         if text:
-            joined = SPACE.sub(" ", entities.unescape("".join(text))).strip()
+            joined = SPACE.sub(" ", "".join(text)).strip()
             if joined:
                 out.append(Block(joined, context, linked))
             text.clear()
@@ -83,8 +84,8 @@ def blocks(html: str | None) -> list[Block]:
     while at < n:
         low = html.find("<", at)
         part = html[at : low if low >= 0 else n]
-        if part:
-            text.append(part)
+        if part:  # a reference ends with its run of text
+            text.append(entities.unescape(part))
             linked += len(part) if links else 0
         if low < 0:
             break
@@ -272,8 +273,18 @@ FILLER = [
 ]
 
 
-def labelled_pages(pages: list[str], variants: int = 6, seed: int = 3) -> list[list[Block]]:
-    """Training sequences from pages whose article element tells the main text.
+# Blocks of a page that teach.
+MOST_BLOCKS = 2000
+PLAIN_PAGE = (
+    "<html><body><nav><a href='/'>Home</a></nav><article><h1>A page without teachers</h1>"
+    "<p>This text stands for the articles of a site that marks none. It has sentences of some length, with commas and full stops.</p>"
+    "<p>Another paragraph follows the first one. It says no more than that prose comes in blocks.</p>"
+    "<ul><li>A short point of a list.</li></ul></article><footer>&copy; All rights reserved.</footer></body></html>"
+)
+
+
+def labelled_pages(pages: list[str], variants: int = 6, seed: int = 3, element: str = "article") -> list[list[Block]]:
+    """Training sequences from pages whose ``element`` tells the main text, of each the first MOST_BLOCKS blocks.
 
     Each page counts as it is, and ``variants`` times with its blocks set in other
     frames: main blocks in a main frame, other pages' prose and links around and inside.
@@ -282,9 +293,9 @@ def labelled_pages(pages: list[str], variants: int = 6, seed: int = 3) -> list[l
     out: list[list[Block]] = []
     parsed = []
     for page in pages:
-        found = blocks(page)
+        found = blocks(page)[:MOST_BLOCKS]
         for b in found:
-            b.main = "in:article" in b.context and not any(f"in:{t}" in b.context for t in ("nav", "aside", "form", "footer", "header"))
+            b.main = f"in:{element}" in b.context and not any(f"in:{t}" in b.context for t in ("nav", "aside", "form", "footer", "header"))
         if any(b.main for b in found):
             parsed.append(found)
             out.append(found)
@@ -320,16 +331,25 @@ def labelled_pages(pages: list[str], variants: int = 6, seed: int = 3) -> list[l
     return out
 
 
-def train(pages: DataFrame, train_pages: int = 80, variants: int = 6) -> Field:
-    """A field from at most ``train_pages`` different pages of at most 20,000 characters, chosen by a hash of their text."""
-    usable = pages.filter("html IS NOT NULL AND length(html) <= 20000 AND html ILIKE '%<article%'")
-    placed = usable.select("html", F.xxhash64("html").alias("place"))
-    # Hashes are ranked first, so that no task sends pages that are not among the chosen.
-    last = placed.select("place").distinct().orderBy("place").limit(train_pages).agg(F.max("place")).first()[0]
-    if last is None:
-        return fit([])
-    sample = placed.filter(F.col("place") <= last).groupBy("place").agg(F.min("html").alias("html"))
-    return fit(labelled_pages([r.html for r in sample.collect()], variants))
+def train(pages: DataFrame, train_pages: int = 80, variants: int = 6, train_chars: int = 200_000) -> Field:
+    """A field from at most ``train_pages`` different pages, chosen by a hash of their text, of each the first ``train_chars`` characters.
+
+    Pages with an article element teach; where no page has one, those with a main
+    element do. Where there is neither, the field is learned from the frames alone,
+    around a built-in article (PLAIN_PAGE).
+    """
+    for element in ("article", "main"):
+        usable = pages.filter(f"html ILIKE '%<{element}%'")
+        placed = usable.select(F.substring("html", 1, train_chars).alias("html"), F.xxhash64("html").alias("place"))
+        # Hashes are ranked first, so that no task sends pages that are not among the chosen.
+        last = placed.select("place").distinct().orderBy("place").limit(train_pages).agg(F.max("place")).first()[0]
+        if last is None:
+            continue
+        sample = placed.filter(F.col("place") <= last).groupBy("place").agg(F.min("html").alias("html"))
+        labelled = labelled_pages([r.html for r in sample.collect()], variants, element=element)
+        if labelled:
+            return fit(labelled)
+    return fit(labelled_pages([PLAIN_PAGE], 10 * variants))
 
 
 def main_text(html: str | None, model: Field) -> str:

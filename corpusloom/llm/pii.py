@@ -3,8 +3,8 @@
 Every recognised value is validated, turned into a number within its format's domain,
 permuted there under the key, and written back in the same layout: a card number
 becomes another one with a right check digit, a date another date. The permutation
-depends on key and kind alone, so equal values stay equal across all documents, and
-two different values never meet.
+depends on key, kind and layout alone, so equal values stay equal across all documents,
+and two different values of a layout never meet.
 """
 
 from __future__ import annotations
@@ -84,21 +84,25 @@ class Pseudonyms:
     def _symbols(self, text: str, kind: str) -> str:
         """Permutes digits among digits and ASCII letters among letters of their case, all together; the rest stays.
 
-        Text of hexadecimal digits alone stays hexadecimal.
+        A secret of lower-case hexadecimal digits alone stays one, and no other becomes one.
         """
-        hexadecimal = kind == "secret" and not set(text) - set("0123456789abcdef")
+        hexadecimal = kind == "secret" and not set(text) - set(HEXADECIMAL)
         sets = [HEXADECIMAL if hexadecimal else "0123456789" if c in "0123456789" else ALPHABET if c in ALPHABET else ALPHABET.upper() if c in ALPHABET.upper() else "" for c in text]
         value, size = 0, 1
         for c, chars in zip(text, sets, strict=True):
             if chars:
                 value, size = value * len(chars) + chars.index(c), size * len(chars)
-        value, out = self._turn(value, size, kind + ":" + "".join("-" if not s else s[0] for s in sets)), []
-        for c, chars in zip(reversed(text), reversed(sets), strict=True):
-            if chars:
-                value, at = divmod(value, len(chars))
-                c = chars[at]
-            out.append(c)
-        return "".join(reversed(out))
+        kind_ = kind + ":" + "".join("-" if not s else s[0] for s in sets)
+        while True:
+            value, out = self._turn(value, size, kind_), []
+            left = value
+            for c, chars in zip(reversed(text), reversed(sets), strict=True):
+                if chars:
+                    left, at = divmod(left, len(chars))
+                    c = chars[at]
+                out.append(c)
+            if kind != "secret" or hexadecimal or set(out) - set(HEXADECIMAL):
+                return "".join(reversed(out))
 
     def card(self, text: str) -> str | None:
         digits = _bare(text)
@@ -154,6 +158,12 @@ class Pseudonyms:
         return _fill(text, f"{bare[:2]}{98 - rest(bare[:2], body, '00'):02d}{body}")
 
     def day(self, text: str) -> str | None:
+        """A date of the same century and the same layout.
+
+        A layout is the order of the numbers and their widths; month-first is what cannot
+        be day-first. Days are permuted within the century until one can be written in
+        the layout, so every layout keeps to itself and no two of its dates meet.
+        """
         numbers = re.findall(r"\d+", text)
         first = len(numbers[0]) == 4
         year, month, day = (int(x) for x in (numbers if first else numbers[::-1]))
@@ -164,15 +174,17 @@ class Pseudonyms:
             value = date(year, month, day)
         except ValueError:
             return None
-        # Within its century and layout, so that what was a date stays one: 1900 to 1999 or 2000 to 2099.
+        narrow_month, narrow_day = (len(numbers[i]) == 1 for i in ((1, 2) if first else (0, 1) if flip else (1, 0)))
         start = date(year // 100 * 100, 1, 1)
         size = (date(year // 100 * 100 + 99, 12, 31) - start).days + 1
-        new = start + timedelta(self._turn((value - start).days, size, f"date{start.year}"))
-        middle, last = (new.day, new.month) if flip else (new.month, new.day)
-        width = 1 if any(len(n) == 1 for n in numbers) else 2
-        parts = [f"{new.year}", f"{middle:0{width}d}", f"{last:0{width}d}"]
-        mark = re.sub(r"\d", "", text)[0]
-        return mark.join(parts if first else parts[::-1])
+        new = value
+        while True:
+            new = start + timedelta(self._turn((new - start).days, size, f"date{start.year}"))
+            if not (narrow_month and new.month > 9 or narrow_day and new.day > 9 or flip and new.day <= 12):
+                break
+        written_month, written_day = f"{new.month:0{2 - narrow_month}d}", f"{new.day:0{2 - narrow_day}d}"
+        year_, mark = f"{new.year}", re.sub(r"\d", "", text)[0]
+        return mark.join([year_, written_month, written_day] if first else [written_month, written_day, year_] if flip else [written_day, written_month, year_])
 
     def email(self, text: str) -> str | None:
         name, _, host = text.rpartition("@")

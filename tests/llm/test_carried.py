@@ -9,9 +9,6 @@ import numpy as np
 
 from corpusloom.llm import decontaminate, html_text, language, pieces, topk
 
-PAGE = "<html><body><nav><a>menu</a></nav><article><p>one two</p></article></body></html>"
-
-
 def without_package(tmp_path, value, code):
     stored = tmp_path / "value"
     stored.write_bytes(pickle.dumps(value))
@@ -29,8 +26,8 @@ def test_classes_travel(tmp_path):
     )
     trees = language.build_trees(["x", "y"], np.array([0, 1]), np.array([97, 98], np.uint64), np.array([2, 3]))
     assert without_package(tmp_path, trees, "print(value.langs, len(value.cost))") == f"['x', 'y'] {language.ORDER + 1}"
-    queries = topk.QueryBlock([(2, [1, 2]), (1, [3, 4])])
-    assert without_package(tmp_path, queries, "print(value.by_dim[2][0].tolist(), value.by_dim[2][1].tolist())") == "[1, 2] [[3, 4], [1, 2]]"
+    borders = topk.Borders([[i, -i] for i in range(100)], -99, 99)
+    assert without_package(tmp_path, borders, "import numpy; print(value.cells(numpy.array([[0, 0], [99, -99]])).tolist())") == str(borders.cells(np.array([[0, 0], [99, -99]])).tolist())
     field = html_text.fit([])
     assert without_package(tmp_path, field, "print(value.decode([]))") == "[]"
     vocabulary = pieces.make({"a": -1.0}, {"a": 256}, [bytes([i]) for i in range(256)] + [b"a"], list(range(256)))
