@@ -16,10 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.carried import Carried
+from corpusloom.workspace import materialize
 
 ORDER = 3
 UNKNOWN = "und"
@@ -135,20 +137,20 @@ def code_lengths(trees: Trees, column: pa.Array) -> np.ndarray:
     return bits.T
 
 
-def train(docs: DataFrame, docs_per_lang: int = 400) -> Trees:
-    """Trees of every value of ``lang`` in ``docs`` (doc_id, text, lang).
+def learning_sample(docs: DataFrame, docs_per_lang: int = 400) -> DataFrame:
+    """(lang, text): at most about ``docs_per_lang`` whole documents of every language of ``docs`` (doc_id, text, lang), in lower case.
 
-    At most about ``docs_per_lang`` whole documents of a language are learned from, chosen
-    by a hash of doc_id; a language with fewer is learned from all of them. So the
-    grams that reach the driver are bounded by languages and sample, not by the corpus.
+    They are chosen by a hash of doc_id; of a language with fewer documents all are taken.
     """
     labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
     rates = {r.lang: min(1.0, docs_per_lang / r.n) for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not rates:
-        return Trees([], [], [], [], [])
-    rate = F.element_at(F.create_map(*[F.lit(x) for pair in rates.items() for x in pair]), F.col("lang"))
+    rate = F.element_at(F.create_map(*[F.lit(x) for pair in rates.items() for x in pair]), F.col("lang")) if rates else F.lit(0.0)
     place = F.pmod(F.xxhash64(F.lit(4), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1_000_000))
-    sample = labelled.filter(place < rate * 1_000_000).select("lang", F.lower("text").alias("text"))
+    return labelled.filter(place < rate * 1_000_000).select("lang", F.lower("text").alias("text"))
+
+
+def learn(sample: DataFrame) -> Trees:
+    """Trees of every value of ``lang`` in ``sample`` (lang, text); its grams are brought together on the driver."""
     counted = sample.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rows = counted.toArrow()
     langs = sorted(set(rows.column("lang").to_pylist()))
@@ -159,28 +161,40 @@ def train(docs: DataFrame, docs_per_lang: int = 400) -> Trees:
     return build_trees(langs, lang, rows.column("gram").to_numpy(), rows.column("n").to_numpy())
 
 
-def predict(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to ``docs``; only ``text_col`` is looked at.
+def train(docs: DataFrame, docs_per_lang: int = 400) -> Trees:
+    """Trees learned from :func:`learning_sample`, so that the grams that reach the driver are bounded by languages and sample, not by the corpus."""
+    return learn(learning_sample(docs, docs_per_lang))
 
-    score is the posterior probability of the predicted language with equal priors. A
-    null text, a text without a letter, and every text when no language was learned
-    get ``und`` and 0. Equal code lengths go to the first language by name. Other
-    columns pass through; older columns of the two names are replaced.
-    """
+
+def _judge(trees: Trees, docs: DataFrame):
+    """A column function of lower-case text: the best language, its posterior, and its bits per byte."""
     known = docs.sparkSession.sparkContext.broadcast(trees)
 
-    @F.arrow_udf("lang string, score double")
+    @F.arrow_udf("lang string, score double, bits double")
     def best(texts: pa.Array) -> pa.Array:
         trees = known.value
         if len(texts) and trees.langs:
             bits = code_lengths(trees, texts)
             lang = pa.array(trees.langs).take(pa.array(bits.argmin(axis=1)))
             odds = np.exp2(np.maximum(bits.min(axis=1)[:, None] - bits, -1000.0)).sum(axis=1)
+            size = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+            rate = bits.min(axis=1) / np.maximum(size, 1)
         else:
-            lang, odds = pa.array([UNKNOWN] * len(texts), pa.string()), np.full(len(texts), np.inf)
-        return pa.StructArray.from_arrays([lang, pa.array(1.0 / odds)], ["lang", "score"])
+            lang, odds, rate = pa.array([UNKNOWN] * len(texts), pa.string()), np.full(len(texts), np.inf), np.full(len(texts), np.inf)
+        return pa.StructArray.from_arrays([lang, pa.array(1.0 / odds), pa.array(rate)], ["lang", "score", "bits"])
+
+    return best
+
 
-    found = docs.withColumn("_best", best(F.lower(text_col)))
+def predict(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
+    """Add ``lang_pred`` and ``score`` to ``docs``; only ``text_col`` is looked at.
+
+    score is the posterior probability of the predicted language with equal priors. A
+    null text, a text without a letter, and every text when no language was learned
+    get ``und`` and 0. Equal code lengths go to the first language by name. Other
+    columns pass through; older columns of the two names are replaced.
+    """
+    found = docs.withColumn("_best", _judge(trees, docs)(F.lower(text_col)))
     worded = has_letter(F.col(text_col))
     return found.withColumns(
         {
@@ -190,6 +204,33 @@ def predict(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
     ).drop("_best")
 
 
+def most_bits(sample: DataFrame, trees: Trees, quantile: float = 0.99, factor: float = 2.5) -> dict[str, float]:
+    """For every language the bits per byte above which a text is none of it: ``factor`` times a quantile of those of its sample."""
+    rated = sample.select("lang", _judge(trees, sample)("text").alias("of")).filter("lang = of.lang")
+    rows = rated.groupBy("lang").agg(F.percentile_approx("of.bits", quantile, 10_000).alias("bits")).collect()
+    return {r.lang: factor * r.bits for r in rows}
+
+
+def understood(docs: DataFrame, docs_per_lang: int = 400, quantile: float = 0.99, factor: float = 2.5) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang, any others) whose text is in a learned language.
+
+    Rejected are texts without a letter, null ones too, and those that cost more bits per
+    byte in their best language than :func:`most_bits` allows: other languages, and text
+    that is no language. The posterior says nothing there, as one language is always
+    the least bad one by far. Where no language was learned every row goes.
+    """
+    sample = materialize(learning_sample(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), docs_per_lang), "language-sample")
+    trees = learn(sample)
+    limits = most_bits(sample, trees, quantile, factor)
+    if not limits:
+        return docs.limit(0)
+    limit = F.element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("best.lang"))
+    # The row is one value here, so that its names meet no others.
+    judged = docs.select(F.struct(*docs.columns).alias("row"), "text", _judge(trees, docs)(F.lower("text")).alias("best"))
+    kept = judged.filter(has_letter(F.col("text")) & (F.col("best.bits") <= limit))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def has_letter(text: Column) -> Column:
     """Whether a text holds a letter of any script; false for null."""
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))

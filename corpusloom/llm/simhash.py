@@ -223,8 +223,11 @@ def choose(docs: DataFrame, found: DataFrame, of_text) -> DataFrame:
     is. Of several rows with that id the smallest print is kept, then the smallest hash
     of the text.
     """
-    chosen = found.filter("doc_id = component_id").groupBy("root").agg(F.first("component_id").alias("doc_id"), F.min("print").alias("_print"))
-    rows = docs.filter("doc_id IS NOT NULL").withColumn("_print", of_text("text"))
-    kept = rows.join(chosen.select("doc_id", "_print"), ["doc_id", "_print"], "left_semi")
-    one = kept.groupBy("doc_id", "_print").agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("row"))
-    return one.select(*[F.col("row")[c].alias(c) for c in docs.columns]).union(docs.filter("doc_id IS NULL"))
+    chosen = found.filter("doc_id = component_id").groupBy("root").agg(F.first("component_id").alias("doc_id"), F.min("print").alias("print"))
+    # The row is one value here, so that its names meet no others.
+    whole = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    rows = whole.filter("doc_id IS NOT NULL").withColumn("print", of_text("text"))
+    kept = rows.join(chosen.select("doc_id", "print"), ["doc_id", "print"], "left_semi")
+    one = kept.groupBy("doc_id", "print").agg(F.min_by("row", F.xxhash64("text")).alias("row")).select("row")
+    both = one.union(whole.filter("doc_id IS NULL").select("row"))
+    return both.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -435,18 +435,25 @@ def test_round_trip(docs, empty):
     assert pieces.round_trip(empty).count() == 0
 
 
+def brute_pipeline(rows, understood, items):
+    """Texts that stay, by id, of (doc_id, text) rows."""
+    now = [(i, t) for i, t in rows if i in understood]
+    now = [(i, kept) for i, _, dropped, kept in brute_lines(now) if not (dropped and not kept.strip(" "))]
+    chosen = {c for (_, _, c) in brute_classes(now)}
+    return {i: t for i, t in now if i in chosen and not brute_leaks(t, items)[1]}
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
     from corpusloom.fixtures import table
 
     docs = table(spark, sf_dir, "documents")
-    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang").collect()]
-    lang = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs).collect()}
-    now = [(i, t) for i, t, _ in rows if lang[i][0] != "und" and lang[i][1] > 0.5]
-    now = [(i, kept) for i, _, dropped, kept in brute_lines(now) if not (dropped and not kept.strip(" "))]
-    chosen = {c for (_, _, c) in brute_classes(now)}
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     items = [(str(r.item_id), r.text) for r in table(spark, sf_dir, "benchmark").collect()]
-    want = {i: t for i, t in now if i in chosen and not brute_leaks(t, items)[1]}
+    understood = {r.doc_id for r in language.understood(docs).collect()}
+    # All of these tables are in learned languages, junk and secrets among them.
+    assert understood == {i for i, t in rows if re.search("[^\\W\\d_]", t or "")}
+    want = brute_pipeline(rows, understood, items)
     got = corpus_pipeline.run(spark, sf_dir).collect()
     assert {r.doc_id: r.text for r in got} == want and len(got) == len(want)
     before = docs
@@ -454,3 +461,55 @@ def test_pipeline(spark, sf_dir):
         before = stage(spark, before, sf_dir)
         assert before.dtypes == docs.dtypes
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_what_is_no_language_goes(spark, sf_dir):
+    rng = random.Random(6)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    odd = [(10_001, "".join(rng.choice("qxzjkvwpbgfy0123456789") for _ in range(400)), None), (10_002, "Это другой язык, которого никто не учил. " * 8, None)]
+    odd += [(10_003, None, "en"), (10_004, "", "en"), (10_005, "123 456", None), (10_006, "日本語の文章がここにあります。" * 5, None), (None, "the and of to in is that it was for on with", None)]
+    mixed = docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    mixed = mixed.selectExpr("*", "'mine' AS lang_pred", "7 AS score", "8 AS bits", "9 AS row", "10 AS best", "11 AS held_out")
+    kept = language.understood(mixed)
+    assert kept.columns == mixed.columns
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()} | {None}
+    assert all((r.lang_pred, r.score, r.row) == ("mine", 7, 9) for r in rows)
+    assert language.understood(docs.limit(0)).count() == 0
+    assert language.understood(docs.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")).count() == 0
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Nulls, repeated ids and rows, odd texts and columns named like the stages' own."""
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    words = ["the", "house", "stands", "near", "river", "and", "old", "people", "walk", "there", "every", "morning", "with", "dogs", "green", "trees", "grow"]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    leak = "one two three four five six seven eight nine ten eleven"
+    rows = [(i, prose(rng.randint(20, 80)), "en") for i in range(60)]
+    base = prose(6_000)  # copies of it differ in their last word
+    rows += [(100 + i, f"{base} end{i}", "en") for i in range(5)] + [(100, f"{base} end0", "en"), (101, prose(50), None), (None, prose(40), None), (None, prose(40), None)]
+    rows += [(200, None, None), (201, "", "en"), (202, " \n\t", None), (203, prose(30) + " " + leak + " " + prose(9), "en"), (204, prose(12_000), "en")]
+    shared = "this very line stands in many of the documents"
+    rows += [(300 + i, shared + "\n" + prose(50), "en") for i in range(4)]
+    schema = "doc_id long, text string, lang string"
+    names = ["source", "n_words", "first", "length", "items", "n_hit", "row", "print", "_print", "lang_pred", "score", "keep", "gone", "id", "ids", "key", "best", "new", "component_id"]
+    docs = spark.createDataFrame(rows, schema).selectExpr("*", "cast(length(text) as bigint) AS n_chars", *[f"{i} AS {n}" for i, n in enumerate(names)])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([("b1", leak), (None, None)], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    now = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.dtypes == docs.dtypes, name
+        kept[name] = [(r.doc_id, r.text) for r in now.collect()]
+        assert all(r.source == 0 and r.component_id == len(names) - 1 for r in now.collect())
+    ids = {name: [i for i, _ in found] for name, found in kept.items()}
+    assert not {200, 201, 202} & set(ids["language_id"]) and ids["language_id"].count(None) == 2 and ids["language_id"].count(100) == 2
+    assert [t.count(shared) for i, t in sorted((i, t) for i, t in kept["line_dedup"] if i in range(300, 304))] == [0, 0, 0, 1]
+    assert sorted(i for i in ids["near_duplicates"] if i in range(100, 105)) == [100, 101] and ids["near_duplicates"].count(None) == 2
+    assert 203 in ids["near_duplicates"] and 203 not in ids["decontamination"]
+    assert set(range(60)) <= set(ids["decontamination"]) and 204 in ids["decontamination"]
+    done = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted((str(r.doc_id), r.text) for r in done.collect()) == sorted((str(i), t) for i, t in kept["decontamination"])
