@@ -1,4 +1,4 @@
-"""Broadcast values whose class travels with them.
+"""What workers carry: broadcast values whose class travels with them, and their memory.
 
 A broadcast is pickled by reference to the module of its class, which executors need not
 have. A carried object sends its class by value.
@@ -7,7 +7,9 @@ have. A carried object sends its class by value.
 from __future__ import annotations
 
 import copyreg
+import ctypes
 
+import pyarrow as pa
 from pyspark import cloudpickle
 
 
@@ -26,3 +28,11 @@ class Carried:
 
     def __reduce__(self):
         return copyreg._reconstructor, (_Class(type(self)), object, None), self.__dict__
+
+
+def tidy() -> None:
+    """Give back memory that a task no longer needs: its worker lives on beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

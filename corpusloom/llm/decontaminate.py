@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.carried import Carried
+from corpusloom.llm.carried import Carried, tidy
 
 WORDS = 10
 # Benchmark text broadcast at once; a larger benchmark is scanned in several blocks.
@@ -170,7 +170,7 @@ def _scanner(known):
         for batch in batches:
             found = []
             for low in range(0, batch.num_rows, 500):
-                texts = batch.column("text").slice(low, 500).to_pylist()
+                texts = batch.column("row").field("text").slice(low, 500).to_pylist()
                 found += [row for group in _groups([t or "" for t in texts]) for row in tests.scan(group)]
             columns = {c: batch.column(c) for c in batch.schema.names}
             columns["n_words"] = pa.array([n for n, _, _, _ in found], pa.int64())
@@ -178,6 +178,7 @@ def _scanner(known):
             columns["length"] = pa.array([x for _, _, x, _ in found], pa.list_(pa.int64()))
             columns["items"] = pa.array([sorted(x for x in items if x is not None) for _, _, _, items in found], pa.list_(pa.string()))
             yield pa.RecordBatch.from_pydict(columns)
+        tidy()
 
     return scan
 
@@ -205,20 +206,19 @@ def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[Data
 
 
 def _found(docs: DataFrame, benchmark: DataFrame, block_bytes: int) -> DataFrame:
-    """(row, text, n_words, first, length, items): each row of ``docs`` as a struct, so that its names meet no others."""
+    """(row, n_words, first, length, items, n_hit): each row of ``docs`` as a struct, so that its names meet no others."""
     spark = docs.sparkSession
-    found = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    found = docs.select(F.struct(*docs.columns).alias("row"))
     for k, block in enumerate(blocks_of(benchmark, block_bytes)):
         rows = block.select(F.col("item_id").cast("string"), "text").collect()
         known = spark.sparkContext.broadcast(TestSet([tuple(r) for r in rows]))
         if k:
-            found = found.select("row", "text", F.struct("n_words", "first", "length", "items").alias("before"))
+            found = found.select("row", F.struct("n_words", "first", "length", "items").alias("before"))
         now = ", ".join(f"{c} {kind}" for c, kind in found.dtypes)
         found = found.mapInArrow(_scanner(known), now + ", n_words long, first array<long>, length array<long>, items array<string>")
         if k:
             found = found.select(
                 "row",
-                "text",
                 "n_words",
                 *[F.concat(f"before.{c}", c).alias(c) for c in ("first", "length")],
                 F.array_sort(F.array_union("before.items", "items")).alias("items"),

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.carried import Carried
+from corpusloom.llm.carried import Carried, tidy
 from corpusloom.workspace import materialize
 
 ORDER = 3
@@ -181,6 +181,7 @@ def _judge(trees: Trees, docs: DataFrame):
             rate = bits.min(axis=1) / np.maximum(size, 1)
         else:
             lang, odds, rate = pa.array([UNKNOWN] * len(texts), pa.string()), np.full(len(texts), np.inf), np.full(len(texts), np.inf)
+        tidy()
         return pa.StructArray.from_arrays([lang, pa.array(1.0 / odds), pa.array(rate)], ["lang", "score", "bits"])
 
     return best
@@ -226,8 +227,8 @@ def understood(docs: DataFrame, docs_per_lang: int = 400, quantile: float = 0.99
         return docs.limit(0)
     limit = F.element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("best.lang"))
     # The row is one value here, so that its names meet no others.
-    judged = docs.select(F.struct(*docs.columns).alias("row"), "text", _judge(trees, docs)(F.lower("text")).alias("best"))
-    kept = judged.filter(has_letter(F.col("text")) & (F.col("best.bits") <= limit))
+    judged = docs.select(F.struct(*docs.columns).alias("row"), _judge(trees, docs)(F.lower("text")).alias("best"))
+    kept = judged.filter(has_letter(F.col("row")["text"]) & (F.col("best.bits") <= limit))
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

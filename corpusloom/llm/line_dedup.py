@@ -149,7 +149,7 @@ def _prober(least_docs: int):
                 ids = part.column("id")
                 own = np.asarray(ids.fill_null(0)) == shard.last[at]
                 drop &= ~(own & np.asarray(ids.is_valid()))
-                yield pa.RecordBatch.from_arrays([ids.filter(pa.array(drop)), part.column("h1").filter(pa.array(drop))], ["id", "h1"])
+                yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(drop)) for c in ("row", "h1")], ["row", "h1"])
 
     return probe
 
@@ -160,10 +160,10 @@ def line_key(line: Column) -> Column:
 
 
 def line_hashes(docs: DataFrame, least_chars: int) -> DataFrame:
-    """(id, h1, h2): one row per distinct long enough line key of each row of ``docs`` (id, text)."""
+    """(id, row, h1, h2): one row per distinct long enough line key of each row of ``docs`` (id, row, text)."""
     keys = F.array_distinct(F.transform(F.split("text", "\n", -1), line_key))
-    lines = docs.filter("text IS NOT NULL").select("id", F.explode(keys).alias("key")).filter(F.char_length("key") >= least_chars)
-    return lines.select("id", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(2), "key").alias("h2"))
+    lines = docs.filter("text IS NOT NULL").select("id", "row", F.explode(keys).alias("key")).filter(F.char_length("key") >= least_chars)
+    return lines.select("id", "row", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(2), "key").alias("h2"))
 
 
 def build_index(hashes: DataFrame) -> tuple[DataFrame, int]:
@@ -180,21 +180,21 @@ def build_index(hashes: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _probe(hashes: DataFrame, index: DataFrame, shards: int, least_docs: int) -> DataFrame:
-    """(id, h1) of the lines that go."""
+    """(row, h1) of the lines that go."""
     loads = {r.shard: r.load for r in index.select("shard", "load").collect()}
     usual = 2 * max(1, sum(loads.values()) // shards)
     copies = F.array(*[F.lit(-(-loads.get(s, 0) // usual) or 1) for s in range(shards)])
     arrays = [c for c in index.columns if c not in ("shard", "load")]
     of = lambda df: F.element_at(copies, F.col("shard") + 1)
     heads = index.withColumn("copy", F.explode(F.sequence(F.lit(0), of(index) - 1)))
-    heads = heads.select("shard", "copy", F.lit(None).cast("long").alias("id"), F.lit(None).cast("long").alias("h1"), F.lit(None).cast("long").alias("h2"), *arrays)
+    heads = heads.select("shard", "copy", *[F.lit(None).cast("long").alias(c) for c in ("id", "row", "h1", "h2")], *arrays)
     asked = hashes.withColumn("shard", F.pmod(F.hash("h1", "h2"), F.lit(shards)))
-    asked = asked.withColumn("copy", F.pmod(F.hash("id"), of(asked)))
+    asked = asked.withColumn("copy", F.pmod(F.hash("row"), of(asked)))
     kinds = dict(index.dtypes)
-    asked = asked.select("shard", "copy", "id", "h1", "h2", *[F.lit(None).cast(kinds[c]).alias(c) for c in arrays])
+    asked = asked.select("shard", "copy", "id", "row", "h1", "h2", *[F.lit(None).cast(kinds[c]).alias(c) for c in arrays])
     both = heads.unionByName(asked).repartition(shards, "shard", "copy")
     both = both.sortWithinPartitions("shard", "copy", F.col("n").isNull())
-    return both.mapInArrow(_prober(least_docs), "id long, h1 long")
+    return both.mapInArrow(_prober(least_docs), "row long, h1 long")
 
 
 KEPT = StructType([StructField("n_dropped", LongType()), StructField("kept", StringType())])
@@ -230,15 +230,15 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, kee
     same doc_id are one document and all keep their rows; a row without a doc_id
     counts as no document and is never the largest. Other columns are not looked at.
     """
-    plain = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    # A row's own key, so that rows without an id, or with one that repeats, meet their own lines alone.
+    own = F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row")
+    plain = docs.select(F.col("doc_id").cast("long").alias("id"), own, "text")
     hashes = line_hashes(plain, least_chars)
     index, shards = build_index(hashes)
     gone = _probe(hashes, index, shards, least_docs)
-    gone = gone.groupBy("id").agg(F.collect_set("h1").alias("gone"))
-    # A null id meets its lines under the same stand-in on both sides.
-    key = F.coalesce(F.col("id").cast("string"), F.lit("-")).alias("key")
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"), F.struct(*keep).alias("keep") if keep else F.lit(0).alias("keep"))
-    joined = join_apart(rows.select("*", key), gone.select(key, "gone"), "key", "left")
+    gone = gone.groupBy("row").agg(F.collect_set("h1").alias("gone"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), own, F.col("text").alias("text"), F.struct(*keep).alias("keep") if keep else F.lit(0).alias("keep"))
+    joined = join_apart(rows, gone, "row", "left")
     text = F.coalesce("text", F.lit(""))
     done = joined.withColumn("new", F.when(F.col("gone").isNotNull(), _rewrite("text", "gone")))
     return done.select(

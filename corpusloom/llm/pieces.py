@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.carried import Carried
+from corpusloom.llm.carried import Carried, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -304,8 +304,7 @@ def _encoder(known):
                 values = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
                 ids = pa.ListArray.from_arrays(pa.array(offsets), values)
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
-        # The worker lives on; what it does not need goes back.
-        pa.default_memory_pool().release_unused()
+        tidy()
 
     return encode
 
@@ -318,7 +317,7 @@ def _decoder(known):
                 part = batch.slice(low, 100)
                 rows = [decode(texts, ids.values.to_numpy()) if ids.is_valid else None for ids in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, pa.string())], [*part.schema.names, "decoded"])
-        pa.default_memory_pool().release_unused()
+        tidy()
 
     return decode_all
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from corpusloom.llm.carried import tidy
 from corpusloom.llm.components import connected_components, join_apart
 from corpusloom.workspace import materialize
 
@@ -52,6 +53,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         prints = np.array([fingerprint(t.as_py()) for t in batch.column("text")], dtype=np.uint64)
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints.view(np.int64))], ["id", "print"])
+    tidy()
 
 
 def _masks(bits: list[int], blocks: int, agree: int) -> list[int]:
@@ -225,9 +227,9 @@ def choose(docs: DataFrame, found: DataFrame, of_text) -> DataFrame:
     """
     chosen = found.filter("doc_id = component_id").groupBy("root").agg(F.first("component_id").alias("doc_id"), F.min("print").alias("print"))
     # The row is one value here, so that its names meet no others.
-    whole = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    rows = whole.filter("doc_id IS NOT NULL").withColumn("print", of_text("text"))
+    whole = docs.select(F.struct(*docs.columns).alias("row"), "doc_id")
+    rows = whole.filter("doc_id IS NOT NULL").withColumn("print", of_text(F.col("row")["text"]))
     kept = rows.join(chosen.select("doc_id", "print"), ["doc_id", "print"], "left_semi")
-    one = kept.groupBy("doc_id", "print").agg(F.min_by("row", F.xxhash64("text")).alias("row")).select("row")
+    one = kept.groupBy("doc_id", "print").agg(F.min_by("row", F.xxhash64(F.col("row")["text"])).alias("row")).select("row")
     both = one.union(whole.filter("doc_id IS NULL").select("row"))
     return both.select(*[F.col("row")[c].alias(c) for c in docs.columns])

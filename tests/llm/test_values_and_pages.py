@@ -5,7 +5,7 @@ from datetime import date, timedelta
 
 import pytest
 
-from corpusloom.llm import decontaminate, html_text, pii
+from corpusloom.llm import decontaminate, html_text, line_dedup, pii
 
 LAYOUTS = ["{y}-{m:02d}-{d:02d}", "{d:02d}/{m:02d}/{y}", "{m:02d}/{d:02d}/{y}", "{d}.{m}.{y}", "{m}-{d}-{y}", "{d:02d}/{m}/{y}", "{d}/{m:02d}/{y}"]
 
@@ -86,3 +86,23 @@ def test_leaks_among_columns_of_any_name(spark):
         assert kept.columns == docs.columns and sorted(map(str, (r.doc_id for r in kept.collect()))) == ["2", "None"]
         found = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.find_leaks(docs, bench, ("doc_id",), block).collect()}
         assert found == {1: (10, ["i1"]), 2: (0, []), None: (0, [])}
+
+
+def test_lines_of_more_than_255_documents(spark):
+    line = "a line that stands in six hundred documents"
+    docs = spark.range(600).selectExpr("id AS doc_id", f"'{line}' AS text")
+    kept = lambda n: sum(r.text == line for r in line_dedup.dedup_lines(docs, least_docs=n).collect())
+    assert (kept(1000), kept(601), kept(600), kept(256)) == (600, 600, 1, 1)
+
+
+def test_rows_without_ids_keep_their_own_lines(spark):
+    """A row loses only lines that it has, whatever other rows share its id or have none."""
+    shared = "this line is found in many documents"
+    rows = [(None, f"{shared}\nonly here, in row number {i}, at some length") for i in range(300)] + [(7, f"{shared}\nfirst of the sevens is here"), (7, "second of the sevens is here")]
+    rows += [(i, shared) for i in range(3)]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, row int, gone int").repartition(4)
+    got = sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in line_dedup.dedup_lines(docs).collect())
+    want = [("None", 2, 1, t.split("\n")[1]) for i, t in rows if i is None]
+    # Seven is the largest id that holds the line.
+    want += [("7", 2, 0, f"{shared}\nfirst of the sevens is here"), ("7", 1, 0, "second of the sevens is here"), *[(str(i), 1, 1, "") for i in range(3)]]
+    assert got == sorted(want)
