@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,7 +176,10 @@ def test_trigram_shuffle_runs_once(spark):
     df = spark.createDataFrame([("a b c d e f",), ("b c d",)], "text string")
     scored = next_word.next_word_prob(ngrams.sliding_trigrams(df))
     scored.collect()
-    assert "ReusedExchange" in scored._jdf.queryExecution().executedPlan().toString()
+    final = scored._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    run = [line for line in final if "ReusedExchange" not in line]
+    assert sum("Scan ExistingRDD" in line for line in run) == 1
+    assert sum(bool(re.search(r"Exchange hashpartitioning\(w1#\d+, w2#\d+, w3#\d+,", line)) for line in run) == 1
 
 
 def test_large_context_is_split_in_the_join(spark, rows):
