@@ -1,7 +1,8 @@
 """Exact top-k inner products by vector-approximation files.
 
-Every component of a vector is replaced by the number of a cell, one byte; the cells of a
-dimension hold about equally many of its values. Cells are a table of their own, a small
+Every component of a vector is replaced by the number of a cell, one byte. Half of a
+dimension's borders lie at quantiles of its values, the others at even distances, so that
+no cell is wide, at the ends neither. Cells are a table of their own, a small
 part of the vectors, and the searches scan it alone: cells bound a score from above and
 below. A first scan, over some of the groups of rows, gives every query a score that k
 rows reach for sure; a second, over all, leaves the rows whose upper bound is not below
@@ -23,8 +24,8 @@ from corpusloom.llm.carried import Carried
 from corpusloom.workspace import materialize
 
 SCALE = 64
-# Cells per dimension, and the vectors whose values place their borders.
-CELLS = 64
+# Cells per dimension, and the vectors whose values place half of their borders.
+CELLS = 256
 SAMPLE = 8192
 # Rows of a group, and the sides of one product.
 GROUP_ROWS = 1 << 16
@@ -53,9 +54,10 @@ class Borders(Carried):
         self.first: dict[int, list[np.ndarray]] = {}
         for dim in {len(v) for v in sample}:
             values = np.array([v for v in sample if len(v) == dim], np.int64).reshape(-1, dim)
-            at = np.arange(1, cells) * len(values) // cells
+            at = np.arange(1, cells // 2) * len(values) // (cells // 2)
+            even = np.array([least + (most - least + 1) * i // (cells // 2) for i in range(cells // 2)], np.int64)
             # Every cell begins at another value, the first at the least there is.
-            self.first[dim] = [np.unique(np.concatenate([[least], column[at]])) for column in np.sort(values, axis=0).T]
+            self.first[dim] = [np.unique(np.concatenate([even, column[at]])) for column in np.sort(values, axis=0).T]
 
     def cells(self, matrix: np.ndarray) -> np.ndarray:
         """Cell numbers of integer vectors of one length."""
