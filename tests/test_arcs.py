@@ -4,9 +4,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom import fixtures as fx
+from corpusloom.catalog import QUERIES
 from corpusloom.functions.stemming import stem_word
 from corpusloom.functions.vectors import MEASURES, aligned, array_measures
-from corpusloom.operators import arcs, association, similarity
+from corpusloom.operators import arcs, association, ngrams, similarity
 from corpusloom.plans.similarity import gold_similarity
 
 
@@ -64,6 +66,46 @@ def test_statistics_add_up_under_repetition(spark, rows):
     assert twice.exceptAll(doubled).isEmpty() and doubled.exceptAll(twice).isEmpty()
 
 
+STAT_LINES = ["h\ta/X/n/2 b/X/ROOT/0 c/X/n/2 bad\t5", "h\tx\t7", "h\t \t4", "h\tc/X/n/2 b/X/R/0\t9223372036854775807", "h\tc/X/n/2 b/X/R/0\t9"]
+
+
+def test_arcs_are_shuffled_once(spark):
+    stats = arcs.arc_statistics(arcs_of(spark, *STAT_LINES), words(spark, "a", "a", None))
+    plan = stats._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert stats._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_large_vocabularies_give_the_same_statistics(spark, rows, monkeypatch):
+    listed = words(spark, "a", "c", "c", None, "none")
+    results = []
+    for most in (arcs.SMALL_VOCABULARY, -1):
+        monkeypatch.setattr(arcs, "SMALL_VOCABULARY", most)
+        stats = arcs.arc_statistics(arcs_of(spark, *STAT_LINES), listed)
+        tables = (arcs.pair_counts(stats), arcs.lexeme_counts(stats), arcs.feature_counts(stats), arcs.wide_totals(stats))
+        results.append([rows(t) for t in tables])
+        assert {r.kind for r in arcs.count_rejects(stats).collect()} == {"pair", "lexeme", "feature", "l_star", "f_star"}
+    assert results[0] == results[1]
+    assert results[0][0] == [("a", "b-n", 5)]
+
+
+def test_only_bad_lines_are_parsed_for_the_rejects(spark):
+    for bad in (arcs.rejected_arc_lines(lines_of(spark, "h\tt")), ngrams.rejected_ngrams(lines_of(spark, "a b c"))):
+        assert "RLIKE(value" in bad._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_are_made_once(spark):
+    tri = spark.createDataFrame([("a", "b", "c", 3)], "w1 string, w2 string, w3 string, cnt bigint")
+    for lines in (arcs.accepted_arc_lines(fx.arc_lines(tri)), arcs.rejected_arc_lines(fx.arc_lines(tri))):
+        steps = lines._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert sum("/X/ROOT/0 " in step for step in steps) == 1
+
+
+def test_vocabulary_meets_sums(spark, sf_dir):
+    plan = QUERIES["vocabulary_arcs"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("Aggregate [lexeme")
+
+
 def test_large_counts(spark):
     stats = arcs.arc_statistics(arcs_of(spark, *["h\ta/X/n/2 b/X/R/0\t2000000000"] * 2), words(spark, "a"))
     assert arcs.pair_counts(stats).first().cnt == 4_000_000_000
