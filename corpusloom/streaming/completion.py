@@ -25,11 +25,12 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 # Executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A state row holds the numbers of up to 2 to this many lines.
-BUCKET_BITS = 16
+# A state row holds the numbers of up to 2 to this many lines, 128 KB at most. Every row costs a call
+# of Python in each micro-batch that touches it, so a job whose lines lie far apart should not have many.
+BUCKET_BITS = 20
 BUCKET_LINES = 1 << BUCKET_BITS
 # Of fewer lines their numbers are kept, of more one bit for every line there can be.
-SPARSE = BUCKET_LINES // 16
+SPARSE = BUCKET_LINES // 32
 
 OPEN = "app_id string, bucket bigint, received bigint, expected bigint"
 COMPLETED = "app_id string, expected bigint, received bigint"
@@ -39,15 +40,15 @@ RETIRED = "app_id string, bucket bigint"
 def _packed(lines: np.ndarray) -> bytes:
     """Sorted line numbers of a bucket as bytes, at most one bit for each that there can be."""
     if len(lines) < SPARSE:
-        return lines.astype("<u2").tobytes()
+        return lines.astype("<u4").tobytes()
     bits = np.zeros(BUCKET_LINES, bool)
     bits[lines] = True
     return np.packbits(bits).tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    if len(data) < 2 * SPARSE:
-        return np.frombuffer(data, "<u2").astype(np.int64)
+    if len(data) < 4 * SPARSE:
+        return np.frombuffer(data, "<u4").astype(np.int64)
     return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8)))
 
 

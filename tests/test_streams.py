@@ -79,6 +79,16 @@ def test_more_lines_than_announced_in_one_batch(spark, tmp_path):
     assert stream.completed() == [("a", 4, 7), ("b", 2, 3)] and stream.state_rows(query) == 0
 
 
+def test_lines_far_apart_share_a_state_row(spark, tmp_path):
+    stream = Jobs(spark, tmp_path)
+    stream.send([("a", i * 100_000) for i in range(10)], [("a", 11)])
+    query = stream.run()
+    assert not stream.completed() and stream.state_rows(query) == 1
+    stream.send([("a", 7)], [])
+    stream.run()
+    assert stream.completed() == [("a", 11, 11)]
+
+
 def test_a_job_over_many_buckets(spark, tmp_path):
     n = 2 * completion.BUCKET_LINES + 5
     stream = Jobs(spark, tmp_path)
