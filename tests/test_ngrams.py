@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom import fixtures
 from corpusloom.functions.stopwords import HEBREW_STOPWORDS
 from corpusloom.operators import ngrams
 from corpusloom.operators.ranking import rank_in_group, top_per_group
@@ -208,3 +209,17 @@ def test_large_context_is_split_in_the_join(spark, rows):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_documents_are_dealt_by_their_text(spark, tmp_path, rows, monkeypatch):
+    data = [(i, "a b c d " * 50, "src1") for i in range(100)] + [(None, None, None), (None, "a b c", "src1"), (7, "", "src2")]
+    spark.createDataFrame(data, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(fixtures, "TASK_TEXT", 1 << 10)
+    docs = fixtures.documents(spark, str(tmp_path))
+    assert rows(docs.filter("doc_id IS NOT NULL")) == sorted(r for r in data if r[0] is not None) and docs.count() == len(data)
+    assert docs.rdd.getNumPartitions() >= 40_000 / 1024
+
+
+def test_no_documents(spark, tmp_path):
+    spark.createDataFrame([], "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert fixtures.tri(spark, str(tmp_path)).collect() == []
