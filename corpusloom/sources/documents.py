@@ -73,6 +73,38 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bodies, pa.binary())], [*part.schema.names, "body"])
 
 
+def _written(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Write (part, name, value), ordered by name, as files; gives the number of each batch's lines."""
+    system, place = located(path)
+    folders, name, file = set(), None, None
+    for batch in batches:
+        for part, next_name, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if next_name != name:
+                if file:
+                    file.close()
+                folder = f"{place}/part={part}"
+                if folder not in folders:
+                    system.create_dir(folder, recursive=True)
+                    folders.add(folder)
+                name, file = next_name, system.open_output_stream(f"{folder}/{next_name}")
+            file.write((value or "").encode() + b"\n")
+        yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], ["lines"])
+    if file:
+        file.close()
+
+
+def write_named_files(rows: DataFrame, path: str) -> None:
+    """A text file of each name of ``rows`` (name, value), its lines the values; null ones are empty lines.
+
+    The tasks open the files themselves, so that a file costs no folder, rename or work of
+    the driver. They lie in a thousand folders at most, by which a listing is divided; a
+    task that runs again writes the same files.
+    """
+    dealt = rows.filter("name IS NOT NULL").select("name", "value").repartition("name").sortWithinPartitions("name")
+    placed = dealt.select(F.pmod(F.hash("name"), F.lit(1000)).alias("part"), "name", "value")
+    placed.mapInArrow(lambda batches: _written(batches, path), "lines bigint").agg(F.sum("lines")).collect()
+
+
 def newest_landed_files(spark: SparkSession, path: str, url: str, urls: DataFrame | None = None, glob: str = "*") -> DataFrame:
     """The file last changed of each URL as (url, fetched_at, http_status, content_type, body).
 

@@ -193,3 +193,14 @@ def test_lines_in_the_order_of_files(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert {(r.of, r.place): r.value for r in got} == {(t, i): v for t, lines in want.items() for i, v in enumerate(lines)}
     assert [r.value for r in sorted(whole, key=lambda r: r.place)] == want["a"]
+
+
+def test_named_files_need_no_folder_or_commit_each(spark, tmp_path):
+    data = [(f"page_id={i}", f"<p>{i}\n</p>") for i in range(3000)] + [("page_id=7", "again"), ("page_id=9000", None), (None, "nowhere")]
+    documents.write_named_files(spark.createDataFrame(data, "name string, value string"), f"file://{tmp_path}/landed")
+    folders, files = list((tmp_path / "landed").iterdir()), {f.name: f.read_text() for f in (tmp_path / "landed").glob("*/*")}
+    assert len(folders) <= 1000 and len(files) == 3001
+    assert sorted(files["page_id=7"].split("\n")) == ["", "</p>", "<p>7", "again"]
+    assert files["page_id=8"] == "<p>8\n</p>\n" and files["page_id=9000"] == "\n"
+    found = documents.newest_landed_files(spark, f"file://{tmp_path}/landed", "/page_id=([0-9]+)$").collect()
+    assert {r.url: bytes(r.body).decode() for r in found} == {name[8:]: body for name, body in files.items()}
