@@ -21,11 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.carried import Carried, tidy
-from corpusloom.workspace import materialize
 
 ORDER = 3
 UNKNOWN = "und"
 SLICE = 1 << 19
+# Bytes counted at a time.
+COUNTED = 1 << 21
 
 
 @dataclass
@@ -64,21 +65,42 @@ def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def _tally(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, with the sums of their counts."""
+    key, where = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(where, np.concatenate(counts), len(key)).astype(np.int64)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, n) of all texts of a task, counted in slices."""
+    index: dict[str, int] = {}
+    keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
     for batch in batches:
         data, at = _texts(batch.column("text"))
-        gram = _grams(data, at[:-1], at[1:])
-        lang = np.repeat(batch.column("lang").dictionary_encode().indices.to_numpy(), np.diff(at))
-        names = batch.column("lang").dictionary_encode().dictionary
-        both, counts = np.unique(lang.astype(np.uint64) << np.uint64(32) | gram, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [
-                names.take(pa.array((both >> np.uint64(32)).astype(np.int64))),
-                pa.array((both & np.uint64(0xFFFFFFFF)).astype(np.int64)),
-                pa.array(counts.astype(np.int64)),
-            ],
-            ["lang", "gram", "n"],
-        )
+        names = batch.column("lang").dictionary_encode()
+        number = np.array([index.setdefault(x, len(index)) for x in names.dictionary.to_pylist()], np.uint64)
+        lang = number[names.indices.to_numpy()]
+        for low in range(0, len(data), COUNTED):
+            high = min(low + COUNTED, len(data))
+            lead = max(0, low - ORDER)
+            begins = slice(*np.searchsorted(at, [lead, high]))
+            gram = _grams(data[lead:high], at[begins] - lead, at[begins.start + 1 : begins.stop + 1] - lead)[low - lead :]
+            first, last = int(np.searchsorted(at, low, side="right")) - 1, int(np.searchsorted(at, high, side="left"))
+            of = np.repeat(lang[first:last], np.diff(np.clip(at[first : last + 1], low, high)))
+            key, n = np.unique(of << np.uint64(32) | gram, return_counts=True)
+            keys.append(key)
+            counts.append(n)
+            held += len(key)
+            if held > COUNTED:
+                key, n = _tally(keys, counts)
+                keys, counts, held = [key], [n], 0
+    key, n = _tally(keys, counts)
+    for low in range(0, len(key), 1 << 16):
+        part = key[low : low + (1 << 16)]
+        found = pa.array(list(index), pa.string()).take(pa.array((part >> np.uint64(32)).astype(np.int64)))
+        grams = pa.array((part & np.uint64(0xFFFFFFFF)).astype(np.int64))
+        yield pa.RecordBatch.from_arrays([found, grams, pa.array(n[low : low + (1 << 16)])], ["lang", "gram", "n"])
+    tidy()
 
 
 def build_trees(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Trees:
@@ -137,33 +159,30 @@ def code_lengths(trees: Trees, column: pa.Array) -> np.ndarray:
     return bits.T
 
 
-def learning_sample(docs: DataFrame, docs_per_lang: int = 400) -> DataFrame:
-    """(lang, text): at most about ``docs_per_lang`` whole documents of every language of ``docs`` (doc_id, text, lang), in lower case.
+def labelled(docs: DataFrame) -> DataFrame:
+    """(lang, text): every whole document of ``docs`` (doc_id, text, lang) with a text and a language that is not held out, in lower case."""
+    known = docs.filter(~held_out(F.col("doc_id"))).filter("lang IS NOT NULL AND text IS NOT NULL")
+    return known.select("lang", F.lower("text").alias("text"))
+
+
+def learn(texts: DataFrame) -> Trees:
+    """Trees of every value of ``lang`` in ``texts`` (lang, text).
 
-    They are chosen by a hash of doc_id; of a language with fewer documents all are taken.
+    All texts are counted by tasks; the driver gets one row per language and different
+    gram, the model itself: as many as languages have strings of ORDER + 1 bytes.
     """
-    labelled = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
-    rates = {r.lang: min(1.0, docs_per_lang / r.n) for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rate = F.element_at(F.create_map(*[F.lit(x) for pair in rates.items() for x in pair]), F.col("lang")) if rates else F.lit(0.0)
-    place = F.pmod(F.xxhash64(F.lit(4), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1_000_000))
-    return labelled.filter(place < rate * 1_000_000).select("lang", F.lower("text").alias("text"))
-
-
-def learn(sample: DataFrame) -> Trees:
-    """Trees of every value of ``lang`` in ``sample`` (lang, text); its grams are brought together on the driver."""
-    counted = sample.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    rows = counted.toArrow()
-    langs = sorted(set(rows.column("lang").to_pylist()))
+    counted = texts.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rows = counted.toArrow().combine_chunks()
+    langs = sorted(pc.unique(rows.column("lang")).to_pylist())
     if not langs:
         return Trees([], [], [], [], [])
-    index = {name: i for i, name in enumerate(langs)}
-    lang = np.array([index[x] for x in rows.column("lang").to_pylist()])
+    lang = pc.index_in(rows.column("lang"), pa.array(langs)).to_numpy()
     return build_trees(langs, lang, rows.column("gram").to_numpy(), rows.column("n").to_numpy())
 
 
-def train(docs: DataFrame, docs_per_lang: int = 400) -> Trees:
-    """Trees learned from :func:`learning_sample`, so that the grams that reach the driver are bounded by languages and sample, not by the corpus."""
-    return learn(learning_sample(docs, docs_per_lang))
+def train(docs: DataFrame) -> Trees:
+    """Trees learned from all texts with a language in ``docs`` (text, lang)."""
+    return learn(docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.lower("text").alias("text")))
 
 
 def _judge(trees: Trees, docs: DataFrame):
@@ -205,14 +224,14 @@ def predict(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
     ).drop("_best")
 
 
-def most_bits(sample: DataFrame, trees: Trees, quantile: float = 0.99, factor: float = 2.5) -> dict[str, float]:
-    """For every language the bits per byte above which a text is none of it: ``factor`` times a quantile of those of its sample."""
-    rated = sample.select("lang", _judge(trees, sample)("text").alias("of")).filter("lang = of.lang")
+def most_bits(texts: DataFrame, trees: Trees, quantile: float = 0.99, factor: float = 2.5) -> dict[str, float]:
+    """For every language the bits per byte above which a text is none of it: ``factor`` times a quantile of those of all its ``texts``."""
+    rated = texts.select("lang", _judge(trees, texts)("text").alias("of")).filter("lang = of.lang")
     rows = rated.groupBy("lang").agg(F.percentile_approx("of.bits", quantile, 10_000).alias("bits")).collect()
     return {r.lang: factor * r.bits for r in rows}
 
 
-def understood(docs: DataFrame, docs_per_lang: int = 400, quantile: float = 0.99, factor: float = 2.5) -> DataFrame:
+def understood(docs: DataFrame, quantile: float = 0.99, factor: float = 2.5) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang, any others) whose text is in a learned language.
 
     Rejected are texts without a letter, null ones too, and those that cost more bits per
@@ -220,9 +239,9 @@ def understood(docs: DataFrame, docs_per_lang: int = 400, quantile: float = 0.99
     that is no language. The posterior says nothing there, as one language is always
     the least bad one by far. Where no language was learned every row goes.
     """
-    sample = materialize(learning_sample(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), docs_per_lang), "language-sample")
-    trees = learn(sample)
-    limits = most_bits(sample, trees, quantile, factor)
+    texts = labelled(docs)
+    trees = learn(texts)
+    limits = most_bits(texts, trees, quantile, factor)
     if not limits:
         return docs.limit(0)
     limit = F.element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("best.lang"))
@@ -242,7 +261,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, docs_per_lang: int = 400) -> DataFrame:
-    """``docs`` with ``held_out``, ``lang_pred`` and ``score``; trees are learned from documents that are not held out."""
-    trees = train(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), docs_per_lang)
+def identify(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``held_out``, ``lang_pred`` and ``score``; trees are learned from all documents that are not held out."""
+    trees = learn(labelled(docs))
     return predict(docs.withColumn("held_out", held_out(F.col("doc_id"))), trees)

@@ -157,6 +157,24 @@ def test_language_code_lengths(spark):
         language.SLICE = before
 
 
+def test_language_learns_from_all_documents(spark, monkeypatch):
+    """More documents than any sample had, counted in slices that cut texts."""
+    rows = [(i, f"aa{i:04d} bé" if i % 2 else "xyz" * (i % 5), "p" if i % 2 else "q") for i in range(3000)] + [(1, None, "p"), (2, "lost", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    monkeypatch.setattr(language, "COUNTED", 7)
+    held = {r.doc_id for r in docs.filter(language.held_out(docs["doc_id"])).collect()}
+    known = [(lang, text) for i, text, lang in rows if i not in held and text and lang]
+    assert len(known) > 1600
+    want = {}
+    for lang, text in known:
+        raw = text.encode()
+        for at in range(len(raw)):
+            gram = int.from_bytes(raw[max(0, at - language.ORDER) : at + 1], "big")
+            want[lang, gram] = want.get((lang, gram), 0) + 1
+    counted = language.labelled(docs).mapInArrow(language._count, "lang string, gram long, n long").groupBy("lang", "gram").sum("n")
+    assert {(r[0], r[1]): r[2] for r in counted.collect()} == want
+
+
 def test_language_held_out(spark, sf_dir, docs, empty):
     found = language.identify(spark.read.parquet(f"{sf_dir}/documents.parquet")).toPandas()
     own = found[found.held_out]
