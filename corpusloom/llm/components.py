@@ -27,7 +27,7 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, rounds: int = 100, rows: int | None = None) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b: long); root is the smallest node reachable.
 
     Each round hangs the larger neighbours of every node on its smallest neighbour,
@@ -35,10 +35,10 @@ def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     of nodes, and rounds grow with the logarithm of the longest path. A round's
     edges are written to the shared folder, which cuts the lineage. Self-loops and
     repeated edges are allowed and change nothing, null ends are ignored. Running out
-    of rounds raises an error.
+    of rounds raises an error. ``rows`` is about the number of different edges, if known.
     """
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = materialize(pairs.filter("a <> b").distinct(), "edges")
+    now = materialize(pairs.filter("a <> b").distinct(), "edges", rows)
     before = _state(now)
     for _ in range(rounds):
         both = now.union(now.select("b", "a"))
@@ -49,7 +49,7 @@ def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         small_least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = join_apart(large, small_least, "a")
         hung = small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = materialize(hung.union(small_least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        now = materialize(hung.union(small_least.select("a", F.col("m").alias("b"))).distinct(), "edges", before[0])
         after = _state(now)
         if after == before:
             roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))

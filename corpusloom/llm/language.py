@@ -224,11 +224,17 @@ def predict(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
     ).drop("_best")
 
 
+def _own_bits(texts: DataFrame, trees: Trees, quantile: float) -> DataFrame:
+    """(lang, bits): a quantile of the bits per byte of the ``texts`` judged to be in their own language, null where none is."""
+    rated = texts.select("lang", _judge(trees, texts)("text").alias("of"))
+    # A condition within the quantile: a filter would be pushed down and have every text judged a second time.
+    own = F.when(F.expr("lang = of.lang"), F.col("of.bits"))
+    return rated.groupBy("lang").agg(F.percentile_approx(own, quantile, 10_000).alias("bits"))
+
+
 def most_bits(texts: DataFrame, trees: Trees, quantile: float = 0.99, factor: float = 2.5) -> dict[str, float]:
     """For every language the bits per byte above which a text is none of it: ``factor`` times a quantile of those of all its ``texts``."""
-    rated = texts.select("lang", _judge(trees, texts)("text").alias("of")).filter("lang = of.lang")
-    rows = rated.groupBy("lang").agg(F.percentile_approx("of.bits", quantile, 10_000).alias("bits")).collect()
-    return {r.lang: factor * r.bits for r in rows}
+    return {r.lang: factor * r.bits for r in _own_bits(texts, trees, quantile).collect() if r.bits is not None}
 
 
 def understood(docs: DataFrame, quantile: float = 0.99, factor: float = 2.5) -> DataFrame:

@@ -174,9 +174,10 @@ def build_index(hashes: DataFrame) -> tuple[DataFrame, int]:
         F.countDistinct("id").alias("docs"), F.max("id").alias("last"), F.count(F.lit(1)).alias("load")
     )
     counts = materialize(counts, "line-counts")
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-counts.count() // SHARD_LINES))
+    n = counts.count()
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // SHARD_LINES))
     dealt = counts.withColumn("shard", F.pmod(F.hash("h1", "h2"), F.lit(shards)))
-    return materialize(dealt.groupBy("shard").applyInArrow(_build, INDEX), "line-index"), shards
+    return materialize(dealt.groupBy("shard").applyInArrow(_build, INDEX), "line-index", n), shards
 
 
 def _probe(hashes: DataFrame, index: DataFrame, shards: int, least_docs: int) -> DataFrame:
@@ -220,6 +221,10 @@ def _rewrite(texts: pa.Array, gone: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(kept, pa.string())], ["n_dropped", "kept"])
 
 
+# Else a filter on the result has every text rewritten a second time.
+_rewrite = _rewrite.asNondeterministic()
+
+
 def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_lines, n_dropped, text) and the columns of ``keep``, a row per row of ``docs``.
 

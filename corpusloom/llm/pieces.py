@@ -291,35 +291,36 @@ def decode(texts: list[bytes], ids: np.ndarray) -> str:
     return raw[1:].decode(errors="replace") if raw.startswith(b" ") else raw.decode(errors="replace")
 
 
-def _encoder(known):
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(known.value)
-        for batch in batches:
-            at = batch.schema.names.index("_text")
-            texts = batch.column(at)
-            for low in range(0, batch.num_rows, 100):
-                part = batch.slice(low, 100)
-                raw = encoder.encode([t or "" for t in texts.slice(low, 100).to_pylist()])
-                offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
-                ids = pa.ListArray.from_arrays(pa.array(offsets), values)
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
+def _encoded(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns of ``batches`` with ids in place of _text."""
+    encoder = Encoder(vocabulary)
+    for batch in batches:
+        texts, rest = batch.column("_text"), [c for c in batch.schema.names if c != "_text"]
+        for low in range(0, batch.num_rows, 100):
+            raw = encoder.encode([t or "" for t in texts.slice(low, 100).to_pylist()])
+            offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
+            values = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
+            ids = pa.ListArray.from_arrays(pa.array(offsets), values)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(low, 100) for c in rest], ids], [*rest, "ids"])
+
+
+def _decoded(texts: list[bytes], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches`` and the text of their ids."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, 100):
+            part = batch.slice(low, 100)
+            rows = [decode(texts, ids.values.to_numpy()) if ids.is_valid else None for ids in part.column("ids")]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, pa.string())], [*part.schema.names, "decoded"])
+
+
+def _mapped(known, work):
+    """A task's work with a broadcast value; what it held is free when memory is given back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(known.value, batches)
         tidy()
 
-    return encode
-
-
-def _decoder(known):
-    def decode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = known.value
-        for batch in batches:
-            for low in range(0, batch.num_rows, 100):
-                part = batch.slice(low, 100)
-                rows = [decode(texts, ids.values.to_numpy()) if ids.is_valid else None for ids in part.column("ids")]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, pa.string())], [*part.schema.names, "decoded"])
-        tidy()
-
-    return decode_all
+    return run
 
 
 def _schema(df: DataFrame) -> str:
@@ -330,16 +331,25 @@ def encode_texts(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...]
     """``keep`` columns of ``docs`` and ids (array of int) of the whole text; a null or empty text has no ids."""
     known = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(*keep, F.col("text").alias("_text"))
-    return rows.mapInArrow(_encoder(known), _schema(rows) + ", ids array<int>").drop("_text")
+    return rows.mapInArrow(_mapped(known, _encoded), _schema(docs.select(*keep)) + ", ids array<int>")
 
 
 def decode_ids(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Add ``decoded``, the text of ``ids``; null ids give null."""
     known = df.sparkSession.sparkContext.broadcast(vocabulary.texts)
-    return df.mapInArrow(_decoder(known), _schema(df) + ", decoded string")
+    return df.mapInArrow(_mapped(known, _decoded), _schema(df) + ", decoded string")
 
 
 def round_trip(docs: DataFrame, model_file: str = MODEL) -> DataFrame:
-    """(doc_id, ids, decoded) of every row: encoded, then decoded from the ids alone; null text decodes as empty."""
-    vocabulary = load(model_file)
-    return decode_ids(encode_texts(docs, vocabulary), vocabulary)
+    """(doc_id, ids, decoded) of every row: encoded, then decoded from the ids alone; null text decodes as empty.
+
+    Both are done by one worker a task, as :func:`encode_texts` and then :func:`decode_ids` do them.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(load(model_file))
+    rows = docs.select("doc_id", F.col("text").alias("_text"))
+
+    def there_and_back(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decoded(vocabulary.texts, _encoded(vocabulary, batches))
+
+    schema = _schema(docs.select("doc_id")) + ", ids array<int>, decoded string"
+    return rows.mapInArrow(_mapped(known, there_and_back), schema)

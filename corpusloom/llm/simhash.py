@@ -155,15 +155,16 @@ def _linked(filed: DataFrame, chosen: list[int], bits: int, crowded: int) -> Dat
     return dealt.mapInArrow(_linker(chosen, bits, crowded), "kind int, a long, b long")
 
 
-def close_links(prints: DataFrame, bits: int = BITS, crowded: int = CROWDED) -> DataFrame:
+def close_links(prints: DataFrame, bits: int = BITS, crowded: int = CROWDED, rows: int | None = None) -> DataFrame:
     """(a, b): links that span the clusters of distinct fingerprints (print: long) at ``bits`` or fewer differing bits.
 
     A key of more than ``crowded`` fingerprints is filed again under two more agreeing
-    blocks of its remaining bits: of those bits again at most ``bits`` differ.
+    blocks of its remaining bits: of those bits again at most ``bits`` differ. ``rows``
+    is about the number of fingerprints, if known.
     """
     chosen = masks(bits)
     filed = prints.select(F.explode(F.array(*[F.lit(c) for c in range(len(chosen))])).alias("c"), "print")
-    first = materialize(_linked(filed, chosen, bits, crowded), "links")
+    first = materialize(_linked(filed, chosen, bits, crowded), "links", rows and rows * len(chosen))
     finer = [finer_masks(m, bits) for m in chosen]
     flat = [m for group in finer for m in group]
     again = first.filter("kind = 1").select(
@@ -198,15 +199,16 @@ def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
 def _components(docs: DataFrame, bits: int) -> DataFrame:
     """:func:`near_duplicates` with ``root``, the same for the rows of a component."""
     prints = materialize(fingerprints(docs), "prints")
-    nodes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "print-nodes")
-    return name_components(prints, nodes, close_links(nodes.select("print"), bits))
+    nodes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "print-nodes", prints.count())
+    n = nodes.count()
+    return name_components(prints, nodes, close_links(nodes.select("print"), bits, rows=n), n)
 
 
-def name_components(prints: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(doc_id, print, component_id, root) of ``prints`` (doc_id, print), from ``nodes`` (print, least) and ``links`` (a, b) of prints."""
-    roots = connected_components(links)
+def name_components(prints: DataFrame, nodes: DataFrame, links: DataFrame, rows: int | None = None) -> DataFrame:
+    """(doc_id, print, component_id, root) of ``prints`` (doc_id, print), from ``nodes`` (print, least; ``rows`` of them, if known) and ``links`` (a, b) of prints."""
+    roots = connected_components(links, rows=rows)
     named = join_apart(nodes, roots.withColumnRenamed("node", "print"), "print", "left")
-    named = materialize(named.select("print", "least", F.coalesce("root", "print").alias("root")), "print-roots")
+    named = materialize(named.select("print", "least", F.coalesce("root", "print").alias("root")), "print-roots", rows)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = join_apart(named.select("print", "root"), least, "root").select("print", "component_id", "root")
     return join_apart(prints, classes, "print").select("doc_id", "print", "component_id", "root")
@@ -215,6 +217,8 @@ def name_components(prints: DataFrame, nodes: DataFrame, links: DataFrame) -> Da
 def one_of_each(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """``docs`` with one row of each component only, of its smallest doc_id; rows without a doc_id are all kept."""
     of_text = F.arrow_udf(lambda texts: pa.array(np.array([fingerprint(t.as_py()) for t in texts], dtype=np.uint64).view(np.int64)), LongType())
+    # Else the join's test for nulls has every print made a second time.
+    of_text = of_text.asNondeterministic()
     return choose(docs, _components(docs, bits), of_text)
 
 
