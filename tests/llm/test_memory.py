@@ -23,9 +23,17 @@ def workers(df) -> int:
     return len(re.findall(r"(?:ArrowEvalPython|MapInArrow)\b", plan))
 
 
-def test_texts_are_judged_once(docs):
+def test_texts_are_judged_once(spark, docs, monkeypatch):
     texts = language.labelled(docs)
-    assert workers(language._own_bits(texts, language.learn(texts), 0.99)) == 1
+    trees, judged, judge = language.learn(texts), spark.sparkContext.accumulator(0), language.code_lengths
+
+    def counted(trees, column):
+        judged.add(len(column))
+        return judge(trees, column)
+
+    monkeypatch.setattr(language, "code_lengths", counted)
+    assert set(language.most_bits(texts, trees)) == {"en"}
+    assert judged.value == texts.count()
 
 
 def test_limits_of_languages_without_texts_of_their_own(spark):
@@ -63,8 +71,8 @@ def test_few_rows_in_few_files(spark, monkeypatch):
     shuffled = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "40")
 
-    def kept(df, name, rows=None):
-        out = materialize(df, name, rows)
+    def kept(df, name, *rows):
+        out = materialize(df, name, *rows)
         written.append((name, len(list(Path(out.inputFiles()[0].removeprefix("file:")).parent.glob("*.parquet")))))
         return out
 
