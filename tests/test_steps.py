@@ -8,7 +8,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.functions.packing import ESCAPE, SEPARATOR, pack, unpack
+from corpusloom.catalog import QUERIES
+from corpusloom.functions.packing import ESCAPE, SEPARATOR, pack, sum_by_words, unpack
 from corpusloom.operators import ngrams
 from corpusloom.operators.ranking import rank_in_group
 from corpusloom.plans import next_word
@@ -154,3 +155,35 @@ def test_ranked_text_is_read_without_a_shuffle_of_its_lines(spark, tmp_path):
     read.collect()
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+@pytest.mark.parametrize("most", [ngrams.SMALL_LIST, -1])
+def test_lists_drop_the_same_in_steps(spark, monkeypatch, most):
+    monkeypatch.setattr(ngrams, "SMALL_LIST", most)
+    tri = trigrams(spark, [*ODD, "stop", "halt"], n=800)
+    listed = spark.createDataFrame([("stop",), (None,), ("halt",), ("stop",), (SEPARATOR,), ("",)], "word string")
+    plain, steps = ngrams.drop_stopword_ngrams(tri, listed), ngrams.drop_stopword_ngrams(tri, listed, in_steps=True)
+    assert steps.columns == plain.columns and not plain.isEmpty()
+    assert steps.exceptAll(plain).isEmpty() and plain.exceptAll(steps).isEmpty()
+    # A small list meets the trigrams where they are read; a large one in one shuffle of them at a time.
+    steps.collect()
+    assert len(exchanges(steps)) == (0 if most > 0 else 2)
+
+
+def test_sums_by_words_keep_nulls_apart(spark):
+    data = [(a, b, 1) for a in (None, "", "x") for b in (None, "", "y")] * 2
+    got = sum_by_words(spark.createDataFrame(data, "a string, b string, n int"), ["a", "b"], {"n": F.sum("n"), "most": F.max("n")})
+    assert {(r.a, r.b): (r.n, r.most) for r in got.collect()} == {(a, b): (2, 1) for a, b, _ in data} and got.count() == 9
+
+
+def test_statistics_are_worked_out_once_for_all_rejects(spark, sf_dir):
+    plan = QUERIES["count_rejects"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "Generate" not in plan
+
+
+@pytest.mark.parametrize("name", ["arc_explode", "arc_files", "ngram_line_filter", "ngram_files", "ngram_sequence"])
+def test_one_shuffle_is_left_when_lines_are_summed(spark, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # The words go as one string.
+    assert len(exchanges(df)) == 1 and "hashpartitioning(_packed" in plan
