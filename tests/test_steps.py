@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog import QUERIES
 from corpusloom.functions.packing import ESCAPE, SEPARATOR, pack, sum_by_words, unpack
-from corpusloom.operators import ngrams
+from corpusloom.operators import arcs, ngrams
 from corpusloom.operators.ranking import rank_in_group
 from corpusloom.plans import next_word
 from corpusloom.sources import matrices
@@ -187,3 +187,11 @@ def test_one_shuffle_is_left_when_lines_are_summed(spark, sf_dir, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # The words go as one string.
     assert len(exchanges(df)) == 1 and "hashpartitioning(_packed" in plan
+
+
+def test_distinct_features_are_counted(spark):
+    rng = random.Random(9)
+    lines = [(["h", *[f"{rng.choice('ab')}/X/{rng.choice(['n', '', 'v'])}/{rng.randint(0, 4)}" for _ in range(rng.randint(0, 5))]], 1) for _ in range(500)]
+    found = arcs.with_arcs(spark.createDataFrame(lines, "toks array<string>, cnt bigint"))
+    rows = found.select(F.size("arcs").alias("n"), arcs.count_distinct_features(F.col("arcs")).alias("a"), F.size(arcs.distinct_features(F.col("arcs"))).alias("b")).collect()
+    assert all(r.a == r.b for r in rows) and {(2, 1), (2, 2), (1, 1), (0, 0)} <= {(r.n, r.a) for r in rows}
